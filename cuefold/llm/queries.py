@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table, to_ms
-from . import chunks, lookalike, sentences
+from . import chunks, lookalike, names, sentences, turns
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -33,10 +33,28 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return p3_pieces(spark, folder).filter("piece_no = 1").select("cue_id", F.when(F.col("forced"), "forced").otherwise("natural").alias("kind"))
 
 
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    segments = table(spark, folder, "segments").select(F.lit("segments").alias("src"), "episode_id", F.col("name").alias("key"), to_ms("seg_start").alias("ms"), "text", "loaded_at")
+    cues = table(spark, folder, "cues").filter("track = 'sdh'").select(F.lit("cues").alias("src"), "episode_id", F.lpad(F.col("seq").cast("string"), 12, "0").alias("key"), to_ms("start_s").alias("ms"), "text", "loaded_at")
+    found = turns.speaker_turns(segments.unionByName(cues), table(spark, folder, "speakers"), "src", "episode_id", "key", "ms", "text", "loaded_at")
+    return found.select("src", "episode_id", "turn_no", "spk_id", "first_ms", "last_ms")
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The persons whom names mean; an episode's cast are the roster's persons among its speakers."""
+    roster, entities, segments = (table(spark, folder, t) for t in ("roster", "entities", "segments"))
+    name = entities.select(F.lit("entities").alias("src"), F.col("entity_id").alias("row_id"), "episode_id", F.lit(0).alias("item_no"), "name")
+    variants = entities.select(F.lit("entities").alias("src"), F.col("entity_id").alias("row_id"), "episode_id", F.posexplode("variants").alias("pos", "name"))
+    said = segments.select(F.lit("segments").alias("src"), F.col("seg_id").alias("row_id"), "episode_id", F.posexplode("names").alias("pos", "name"))
+    places = variants.unionByName(said).select("src", "row_id", "episode_id", (F.col("pos") + 1).alias("item_no"), "name")
+    cast = table(spark, folder, "speakers").join(roster, "name").select("episode_id", "person_id")
+    return names.link_names(name.unionByName(places), ["src", "row_id", "item_no"], "episode_id", "name", roster, cast)
+
+
 _P3 = r"""
 SELECT cue_id, CASE WHEN regexp_matches(text, '[^\s\p{Z}\p{P}\p{S}]{121}') THEN 'forced' ELSE 'natural' END AS kind
 FROM cues WHERE length(text) > 120
 """
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p3_pieces": p3_pieces}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found, "p6_found": p6_found}
 ORACLE = {"p3_found": _P3}
