@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table, to_ms
-from . import chunks, lookalike, names, sentences, turns
+from . import chunks, lookalike, names, sentences, spam, turns
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -51,10 +51,19 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return names.link_names(name.unionByName(places), ["src", "row_id", "item_no"], "episode_id", "name", roster, cast)
 
 
+def p9_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Spam scores of all pages."""
+    return spam.spam_scores(table(spark, folder, "documents"), "doc_id", "text", "url")
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p9_scores(spark, folder).filter("score > 0.5").select("doc_id")
+
+
 _P3 = r"""
 SELECT cue_id, CASE WHEN regexp_matches(text, '[^\s\p{Z}\p{P}\p{S}]{121}') THEN 'forced' ELSE 'natural' END AS kind
 FROM cues WHERE length(text) > 120
 """
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found, "p6_found": p6_found}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found, "p6_found": p6_found, "p9_found": p9_found, "p9_scores": p9_scores}
 ORACLE = {"p3_found": _P3}
