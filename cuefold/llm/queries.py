@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table, to_ms
-from . import chunks, lookalike, names, sentences, spam, turns
+from . import chunks, lookalike, mixing, names, packing, sentences, spam, turns
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -51,6 +51,26 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return names.link_names(name.unionByName(places), ["src", "row_id", "item_no"], "episode_id", "name", roster, cast)
 
 
+def p7_containers(spark: SparkSession, folder: str) -> DataFrame:
+    """Containers of 2,048 tokens with all documents."""
+    return packing.pack_documents(table(spark, folder, "documents"), "doc_id", "text")
+
+
+def p7_fill(spark: SparkSession, folder: str) -> DataFrame:
+    """How full the containers are."""
+    return packing.fill_report(p7_containers(spark, folder))
+
+
+def p8_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """Every use of a document in the largest mix that keeps the target shares."""
+    return mixing.mix(table(spark, folder, "documents"), table(spark, folder, "source_targets"), "doc_id", "source", "text")[0]
+
+
+def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """Target and actual shares of the mix."""
+    return mixing.mix(table(spark, folder, "documents"), table(spark, folder, "source_targets"), "doc_id", "source", "text")[1]
+
+
 def p9_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Spam scores of all pages."""
     return spam.spam_scores(table(spark, folder, "documents"), "doc_id", "text", "url")
@@ -65,5 +85,5 @@ SELECT cue_id, CASE WHEN regexp_matches(text, '[^\s\p{Z}\p{P}\p{S}]{121}') THEN
 FROM cues WHERE length(text) > 120
 """
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found, "p6_found": p6_found, "p9_found": p9_found, "p9_scores": p9_scores}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found, "p6_found": p6_found, "p7_containers": p7_containers, "p7_fill": p7_fill, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_scores": p9_scores}
 ORACLE = {"p3_found": _P3}
