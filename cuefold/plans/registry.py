@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import coverage
+from . import coverage, sequence, text, timing
 
-_MODULES = (coverage,)
+_MODULES = (coverage, timing, text, sequence)
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}
-FLAGSHIP = coverage.p5_found
+FLAGSHIP = timing.coverage_gap_regions
