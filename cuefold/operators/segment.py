@@ -174,7 +174,7 @@ def pack_lines(most_ms: int = 7_000, most_chars: int = 45, most_lines: int = 2)
     def run(p: pd.DataFrame) -> pd.DataFrame:
         p = p[(p["e"] > p["s"]) & p["text"].fillna("").str.strip().ne("")]
         cues: list[list] = []
-        for s, e, text, turn in zip(p["s"].tolist(), p["e"].tolist(), p["text"].str.strip(), p["turn"].fillna(False)):
+        for s, e, text, turn in zip(p["s"].tolist(), p["e"].tolist(), p["text"].str.strip(), p["turn"].eq(True)):
             shown = f"- {text}" if turn else text
             if cues:
                 a, b, lines, chars = cues[-1]
