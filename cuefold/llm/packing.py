@@ -87,7 +87,7 @@ def pack(sizes: list[int], tokens: list[np.ndarray], capacity: int) -> list[list
     return out
 
 
-def pack_documents(df: DataFrame, doc_id: str, text: str, capacity: int = 2048, shard_chars: int = 4_000_000, file: str = DEFAULT_FILE) -> DataFrame:
+def pack_documents(df: DataFrame, doc_id: str, text: str, capacity: int = 2048, shard_chars: int = 1_000_000, file: str = DEFAULT_FILE) -> DataFrame:
     """The containers' contents, one row ``SCHEMA`` for each item of each container, in filling order.
 
     An item is a document or, where its text has more than ``capacity`` tokens, one of its parts ``from_token`` to
@@ -99,7 +99,8 @@ def pack_documents(df: DataFrame, doc_id: str, text: str, capacity: int = 2048,
     source = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("t")).filter("length(t) > 0")
     chars = source.agg(F.sum(F.length("t").cast("long")).alias("n")).first().n or 0
     shards = max(1, -(-chars // shard_chars))
-    dealt = source.withColumn("shard", F.pmod(F.xxhash64("doc_id", "t"), F.lit(shards)).cast("long"))
+    # a task gets few shards: what they cost is computing, which no count of bytes tells
+    dealt = source.withColumn("shard", F.pmod(F.xxhash64("doc_id", "t"), F.lit(shards)).cast("long")).repartition(shards, "shard")
 
     def fill(key, pdf: pd.DataFrame) -> pd.DataFrame:
         enc = load(content)
