@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 #: Levels from the widest unit to the narrowest. A cut lies at the end of each match.
 LEVELS = {
     "section": regex.compile(r"(?:\r?\n[^\S\n]*){2,}|\f"),
-    "paragraph": regex.compile(r"\n| "),
+    "paragraph": regex.compile(r"\n|\u2029"),
     "sentence": regex.compile(r"(?:[!?。！？．…।॥؟۔]+|\.+(?=[\p{Pe}\p{Pf}\"']*(?:\s|$)))[\p{Pe}\p{Pf}\"']*\s*"),
     "word": regex.compile(r"\s+"),
     "mark": regex.compile(r"[\p{P}\p{S}\p{Z}\s]+"),

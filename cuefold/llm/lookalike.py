@@ -29,21 +29,21 @@ AАΑ BВΒ CСϹ EЕΕ GԌ HНΗ IІΙӀ JЈͿ KКΚ MМΜ NΝ OОΟ PРΡ QԚ
 ー一 卜ト 夕タ 八ハ 力カ 二ニ 口ロ 工エ 才オ 丿ノ りリ へヘ
 """
 #: Code points that show nothing, beside those of category Cf and Cc.
-BLANKS = "͏ᅟᅠ឴឵ㅤﾠ᠋᠌᠍᠏"
+BLANKS = "\u034f\u115f\u1160\u17b4\u17b5\u3164\uffa0\u180b\u180c\u180d\u180f"
 SHOWN_FORMATS = {*range(0x600, 0x606), 0x6DD, 0x70F, 0x890, 0x891, 0x8E2, 0x110BD, 0x110CD}
 
 
 @lru_cache(1)
 def _invisible() -> regex.Pattern:
     spans = [chr(c) for c in range(0x20000) if unicodedata.category(chr(c)) in ("Cf", "Cc") and c not in SHOWN_FORMATS and chr(c) not in "\t\n\r\v\f"]
-    return regex.compile("[" + regex.escape("".join(spans) + BLANKS, special_only=False) + "︀-️\U000e0000-\U000e0fff]+")
+    return regex.compile("[" + regex.escape("".join(spans) + BLANKS, special_only=False) + "\ufe00-\ufe0f\U000e0000-\U000e0fff]+")
 
 
 @lru_cache(1)
 def seeds() -> list[tuple[str, str]]:
     """Pairs of canonically decomposed strings that look the same."""
     pairs = [(w[0], other) for w in SHARED_SHAPES.split() for other in w[1:]]
-    pairs += [("\r\n", "\n"), ("\r", "\n"), ("‐", "-"), ("゛", "゙"), ("゜", "゚")]
+    pairs += [("\r\n", "\n"), ("\r", "\n"), ("‐", "-"), ("゛", "゙"), ("゜", "\u309a")]
     for c in range(sys.maxunicode + 1):
         form, ch = unicodedata.decomposition(chr(c)), chr(c)
         if not form.startswith("<"):

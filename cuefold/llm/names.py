@@ -32,7 +32,7 @@ _HAN = re.compile(r"[㐀-鿿々]+")
 
 # Han characters that stand for katakana of the same shape beside katakana.
 _SHAPES = dict(zip("一卜夕八力二口工", "ートタハカニロエ"))
-_SHAPED = re.compile("(?<=[ァ-ヺー゙゚])[一卜夕八力二口工]|[一卜夕八力二口工](?=[ァ-ヺー゙゚])")
+_SHAPED = re.compile("(?<=[ァ-ヺー゙\u309a])[一卜夕八力二口工]|[一卜夕八力二口工](?=[ァ-ヺー゙\u309a])")
 
 
 def _reshape(x: str) -> str:
@@ -96,6 +96,11 @@ class Matcher:
             if name and reading and len(reading.split()) == 2:
                 given[reading.split()[1]].append(name)
         tails = {g: _common_tail(own) for g, own in given.items()}
+        family = defaultdict(list)
+        for _, name, reading, _, _ in persons:
+            if name and reading and len(reading.split()) == 2:
+                family[reading.split()[0]].append(name[::-1])
+        heads = {f: _common_tail(own)[::-1] for f, own in family.items() if len({*own}) > 1}
         self.forms: list[tuple[tuple[str, ...], str, tuple[str, ...]]] = []
         self.of: list[list] = []
         seen: dict = {}
@@ -112,7 +117,8 @@ class Matcher:
             sur, giv = (reading.translate(_HIRA).split() + ["", ""])[:2] if reading else ("", "")
             g_rom, s_rom = (romaji.lower().split() + ["", ""])[:2] if romaji else ("", "")
             tail = tails.get(reading.split()[1], "") if reading and len(reading.split()) == 2 and name else ""
-            s_han, g_han = (name[: len(name) - len(tail)], tail) if tail else (name or "", "")
+            head = heads.get(reading.split()[0], "") if reading and len(reading.split()) == 2 and name else ""
+            s_han, g_han = (name[: len(name) - len(tail)], tail) if tail else (head, name[len(head) :]) if head else (name or "", "")
             pairs = {(s_han, g_han), (sur, giv), (s_han, giv), (sur, g_han)}
             for a, b in pairs:
                 if a and b:

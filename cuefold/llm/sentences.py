@@ -23,17 +23,25 @@ from .lookalike import BLANKS, SHARED_SHAPES, SHOWN_FORMATS
 #: Scripts whose words aren't divided by spaces: Thai to Tibetan, Myanmar, Khmer, kana and Han.
 _DENSE = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3041-\u30ff\u3400-\u9fff\uf900-\ufaff"
 _FINAL = ".!?！？。।॥…؟۔"
+_NOTE = r"<[^<>\n]{1,60}>|[\[【〔〈][^\]】〕〉\n]{1,60}[\]】〕〉]|\*[^*\n]{1,60}\*|\d?\d:\d\d:\d\d(?:[.,]\d+)?"
 _TOKEN = re.compile(
-    r"(?P<note><[^<>\n]{1,60}>|[\[【〔〈][^\]】〕〉\n]{1,60}[\]】〕〉]|\*[^*\n]{1,60}\*|[♪♫♬]+~?|\d?\d:\d\d:\d\d(?:[.,]\d+)?)"
+    rf"(?P<note>{_NOTE}|[♪♫♬]+~?)"
     r"|(?P<round>[(（][^()（）]{1,300}[)）])"
     r"|(?P<quote>「[^「」]{0,300}」|『[^『』]{0,300}』|“[^“”]{0,300}”|„[^„“”]{0,300}[“”]|«[^«»]{0,300}»|‘[^‘’]{0,200}’)"
     rf"|(?P<mark>[{_FINAL}]+[\"”’»」』\]]*)"
     rf"|(?P<space>(?<=[{_DENSE}])\s+)"
 )
-_INVISIBLE = re.compile("[" + "".join(chr(c) for c in range(0x10000) if unicodedata.category(chr(c)) == "Cf" and c not in SHOWN_FORMATS) + BLANKS + "︀-️]")
+_INVISIBLE = re.compile("[" + "".join(chr(c) for c in range(0x10000) if unicodedata.category(chr(c)) == "Cf" and c not in SHOWN_FORMATS) + BLANKS + "\ufe00-\ufe0f]")
 _WORD = re.compile(r"[^\W_]+")
-_LABEL = re.compile(r"\s*(?:(?:>+|[-–—]+)\s*)*(?:[^\s:：.!?。！？][^:：\n.!?。！？「『“„«]{0,30}\s?[:：]|speaker[_ ]?\d+\s+-)\s*", re.I)
+#: What stands before speech: dashes, notes, stamps and labels.
+_LEAD = re.compile(
+    rf"(?:[\s\-–—>♪♫♬~]+|{_NOTE}|[(（][^()（）\n.!?。！？…]{{1,60}}[)）]"
+    r"|speaker[_ ]?\d+\s+-(?=\s)|[^\s:：.!?。！？「『“„«(（\[<][^:：\n.!?。！？「『“„«]{0,30}[:：](?!\d\d:))*",
+    re.I,
+)
+_LABELLED = re.compile(r"\s*(?:[-–—>]+\s*)*(?:[\[(<]?\d?\d:\d\d:\d\d|speaker[ _]?\d+\s*[-:：]|[A-Z][A-Za-z0-9_]+\s?[:：](?!\d\d:)|[\u3400-\u9fff]{1,8}(?:氏|さん)?\s?[:：])", re.I)
 _SEP = re.compile(r"(\s*)((?:[-–—>]+\s*)?)([^\W\d_]+|\d+|.)?", re.S)
+_CJK = re.compile("[\u3041-\u30ff\u3400-\u9fff]")
 _SMALL = str.maketrans("0123456789", "0" * 10)
 
 
@@ -128,7 +136,7 @@ def candidates(t: str) -> Iterator[tuple[int, int, tuple, bool]]:
             if not inner or inner[-1] not in _FINAL:
                 continue
             before = t[last:a].rstrip()[-1:]
-            yield b, b, _key(t, last, b, "q" + _kind(inner[-1]) + (before if before in ":：,、，" else "w" if before else ""), b), False
+            yield b, b, _key(t, last, b, "q" + t[a] + _kind(inner[-1]) + (before if before in ":：,、，" else "w" if before else ""), b), False
         elif kind == "mark":
             yield b, b, _key(t, last, b, _kind(m.group()[:3]), b), False
         else:
@@ -149,6 +157,8 @@ def _key(t: str, low: int, end: int, kind: str, after: int) -> tuple:
     words = _WORD.findall(t, max(low, end - 40), end)
     sep, dash, nxt = _SEP.match(t, after).groups()
     between = "dash" if dash else "line" if "\n" in sep else "space" if sep else ""
+    if sep and _LABELLED.match(t, after):
+        between, nxt = "dash", ""
     return kind, _short(words[-2]) if len(words) > 1 else "", _short(words[-1]) if words else "", _shape(words[-1]) if words else "none", between, nxt or ""
 
 
@@ -186,15 +196,14 @@ def _reliable(texts: list[str]) -> tuple[list[tuple], list[int]]:
         reopened = [c for c in candidates(t[:end] + " _") if c[0] == end and not c[3]]
         if not reopened and _dense(t[end - 1]):
             reopened = [(end, end, _key(t, max(0, end - 40), end, "space", len(t)), False)]
-        m = _LABEL.match(t) or re.match(r"\s*(?:[-–—>]+\s*)*", t)
+        m = _LEAD.match(t)
         head = _SEP.match(t, m.end()).group(3) or ""
-        script = _shape(head)
-        heads[script in ("hiragana", "katakana", "han"), script == "thai"].append(head)
+        script = bool(_CJK.search(t)), "\u0e00" <= max(t) <= "\u0eff"
+        heads[script].append(head)
         if reopened:
             seen.update(types(reopened[0][2]))
             final.update(types(reopened[0][2]))
-            d = t[end - 1]
-            tails[bool("\u3000" <= d <= "\u9fff" or d in "!?…" and _dense(t[max(0, end - 3)])), "\u0e00" <= d <= "\u0e7f"].append(reopened[0][2])
+            tails[script].append(reopened[0][2])
     keys, labels = [], []
     for group, own in tails.items():
         own_heads = heads.get(group) or [h for hs in heads.values() for h in hs]
@@ -208,8 +217,12 @@ def _reliable(texts: list[str]) -> tuple[list[tuple], list[int]]:
                 labels.append(1)
     for key in inner:
         kind, _, prev, shape, between, nxt = key
+        if between == "dash" and not nxt:  # a label follows
+            keys.append(key)
+            labels.append(1)
+            continue
         after = _shape(nxt)
-        small = after in ("lower", "lower1") or nxt[:1] in ",;、，:：)）" or (after == "digit" and not between and kind == ".")
+        small = after in ("lower", "lower1") or nxt[:1] in tuple(",;、，:：)）") or (after == "digit" and not between and kind == ".")
         # the narrowest kind of place that the sample shows often enough decides
         known = next((x for x, least in zip(types(key), (4, 6, 25, 40)) if seen[x] >= least), None)
         never = known is not None and final[known] < 0.02 * seen[known]
@@ -219,7 +232,7 @@ def _reliable(texts: list[str]) -> tuple[list[tuple], list[int]]:
     return keys, labels
 
 
-def fit(texts: list[str], rounds: int = 60, decay: float = 1e-5) -> dict[str, float]:
+def fit(texts: list[str], rounds: int = 150, decay: float = 1e-5) -> dict[str, float]:
     """Weights of the maximum-entropy model, by full gradient steps (Adam) on the reliable examples of ``texts``."""
     keys, labels = _reliable(texts)
     merged: Counter = Counter(zip(keys, labels))
@@ -266,19 +279,13 @@ class Splitter:
                 continue
             if not (sure or self.boundary(key)):
                 continue
-            m = _LABEL.match(t, last, end)
-            begin = m.end() if m and m.end() < end else last
-            own = t[begin:end]
-            if _WORD.search(own) and (key[0] == "aside" or not _NOTE_SIGN.search(own) or _WORD.search(_NOTES.sub("", own))):
-                out.append((begin + len(own) - len(own.lstrip(" \n\t\r-–—>♪♫♬~")), end))
+            begin = _LEAD.match(t, last, end).end()
+            if begin < end and _WORD.search(t, begin, end):
+                out.append((begin, end))
             last = max(after, end) if key[0] in ("space", "close") else end
         return out if at is None else [(at[a], at[b - 1] + 1) for a, b in out]
 
 
-_NOTE_SIGN = re.compile(r"[<\[【〔〈*(（]|\d:")
-_NOTES = re.compile(r"<[^<>\n]{1,60}>|[\[【〔〈][^\]】〕〉\n]{1,60}[\]】〕〉]|\*[^*\n]{1,60}\*|\d?\d:\d\d:\d\d(?:[.,]\d+)?|[(（][^()（）\n]{1,60}[)）]")
-
-
 def sample_texts(df: DataFrame, text: str, fit_rows: int) -> list[str]:
     """At most ``fit_rows`` distinct texts, those of the smallest digests: a sample that no order or layout changes.
 

@@ -23,7 +23,7 @@ from .sentences import _clean
 _LINK = re.compile(r"<a\s[^>]*>.*?</a>|\[[^\]\n]{0,200}\]\(\s*(?:https?:)?//[^)\s]*\)|(?:https?://|www\.)\S+", re.I | re.S)
 _TAG = re.compile(r"(?<!\S)[#＃]\S+")
 _PRODUCT = re.compile(r"\b[A-Z]{1,3}-?\d{3,6}\b.*?\d+ ?(?:円|元|₩|€|\$|JPY|USD|EUR|% ?OFF)|\d+% ?OFF", re.I)
-_TOKEN = re.compile(r"[ァ-ヺー]+|[㐀-鿿々]+|[가-힣]+|[ऀ-ॿ]+|[฀-๿]+|[ぁ-ゟ]+|\d+|[^\W\d_ぁ-ヿ㐀-鿿가-힣ऀ-ॿ฀-๿]+")
+_TOKEN = re.compile(r"[ァ-ヺー]+|[㐀-鿿々]+|[가-힣]+|[\u0900-ॿ]+|[฀-๿]+|[ぁ-ゟ]+|\d+|[^\W\d_ぁ-ヿ㐀-鿿가-힣\u0900-ॿ฀-๿]+")
 _ENDS = re.compile(r"(?<=[。！？!?।|])|(?<=\.)\s")
 _BARS = re.compile(r"\s*\|\s*|\s/\s")
 #: What a price or discount is told by; a product line holds one.
