@@ -24,7 +24,7 @@ def read_cues(spark: SparkSession, path: str, keep_empty: bool = True) -> DataFr
 
 def parse_cues(df: DataFrame, key: str, text: str, keep_empty: bool = True) -> DataFrame:
     """As :func:`read_cues`, for texts of files in a column; null texts give no cue."""
-    plain = F.replace(F.regexp_replace(F.regexp_replace(F.col(text), "^﻿", ""), "\r\n?", "\n"), F.lit("﻿"), F.lit(""))
+    plain = F.replace(F.regexp_replace(F.regexp_replace(F.col(text), "^\ufeff", ""), "\r\n?", "\n"), F.lit("\ufeff"), F.lit(""))
     blocks = df.select(F.col(key), F.posexplode(F.split(plain, "\n[ \t]*\n+")).alias("_at", "_block")).filter(F.contains("_block", F.lit("-->")))
     arrow = F.regexp_extract("_block", "(?m)^([^\n]*-->[^\n]*)$", 1)
     body = F.expr("substring(_block, instr(_block, '-->'))")

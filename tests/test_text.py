@@ -43,7 +43,7 @@ def test_timecodes(spark):
     assert [r[0] for r in df.select(timecode.render(F.col("ms"), ",")).collect()] == ["00:00:59,999", "01:00:00,000", "00:00:00,000"]
 
 
-VTT = "﻿WEBVTT\r\n\r\nNOTE x\r\n\r\n1\r\n00:00:01.000 --> 00:00:02.500 align:start\r\nHello\r\nthere\r\n\r\n00:03.000 --> 00:04.000\r\n\r\n"
+VTT = "\ufeffWEBVTT\r\n\r\nNOTE x\r\n\r\n1\r\n00:00:01.000 --> 00:00:02.500 align:start\r\nHello\r\nthere\r\n\r\n00:03.000 --> 00:04.000\r\n\r\n"
 
 
 def test_cue_files(spark, tmp_path):
