@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import coverage, sequence, text, timing
+from . import coverage, reports, sequence, text, timing
 
-_MODULES = (coverage, timing, text, sequence)
+_MODULES = (coverage, timing, text, reports, sequence)
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}
 FLAGSHIP = timing.coverage_gap_regions
