@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import segment
+from ..operators import matching, segment
 from ..session import table
 from .base import CUES, cues, intervals, segments
 
@@ -97,3 +97,87 @@ def cluster_labels(spark: SparkSession, folder: str) -> DataFrame:
         return pd.DataFrame({"vec_id": p["vec_id"], "cluster": [rank[k] for k in lab]})
 
     return segment.by_group(table(spark, folder, "embeddings"), ["label"], ["vec_id"], run, "vec_id long, cluster int")
+
+
+@query()
+def greedy_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """Segments and labelled cues of an episode matched once each by overlap, with what is left over."""
+    a = segments(spark, folder).select("episode_id", F.lit(0).alias("side"), F.col("name").alias("k"), "s", "e")
+    b = cues(spark, folder).filter("track = 'sdh'").select("episode_id", F.lit(1).alias("side"), F.lpad(F.col("seq").cast("string"), 12, "0").alias("k"), "s", "e")
+
+    def run(p):
+        import pandas as pd
+
+        x, y = p[p["side"] == 0], p[p["side"] == 1]
+        spans = lambda q: list(zip(q["s"].tolist(), q["e"].tolist()))
+        pairs = matching.greedy_overlap(spans(x), spans(y))
+        name = lambda q, i: None if i is None else q["k"].iloc[i]
+        return pd.DataFrame([(name(x, i), name(y, j)) for i, j in pairs], columns=["seg", "cue"])
+
+    return segment.by_group(a.unionByName(b), ["episode_id"], ["side", "s", "k"], run, "seg string, cue string")
+
+
+@query()
+def screen_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """Frames of 10 s that show the same terms as spans."""
+    kata = table(spark, folder, "segments").filter("kata IS NOT NULL").select("episode_id", "name", F.explode("kata").alias("term")).distinct()
+    frames = kata.join(segments(spark, folder).select("episode_id", "name", "s"), ["episode_id", "name"]).select("episode_id", F.floor(F.col("s") / 10_000).alias("n"), "term").distinct()
+    own = frames.groupBy("episode_id", "n").agg(F.array_sort(F.collect_set("term")).alias("terms"))
+
+    def run(p):
+        import pandas as pd
+
+        spans = matching.frame_spans([(n, list(t)) for n, t in zip(p["n"].tolist(), p["terms"])])
+        return pd.DataFrame([(i, s["first"], s["last"], sorted(s["counts"])) for i, s in enumerate(spans)], columns=["span", "first", "last", "terms"])
+
+    return segment.by_group(own, ["episode_id"], ["n"], run, "span int, first long, last long, terms array<string>")
+
+
+@query()
+def picked_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """Eight segments of an episode with the most terms and names, 5 s apart."""
+    n = table(spark, folder, "segments").groupBy("episode_id", "name").agg(F.max(2 * F.coalesce(F.size("kata"), F.lit(0)) + 3 * F.coalesce(F.size("names"), F.lit(0))).alias("score"))
+    own = segments(spark, folder).select("episode_id", "name", "s").join(n, ["episode_id", "name"])
+
+    def run(p):
+        return p.iloc[matching.pick_apart(list(zip(p["s"].tolist(), p["score"].tolist())), 8)][["name", "s", "score"]]
+
+    return segment.by_group(own, ["episode_id"], ["s", "name"], run, "name string, s long, score int")
+
+
+@query()
+def two_pass_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors clustered in two passes, the even ones as long turns."""
+    import numpy as np
+
+    def run(p):
+        import pandas as pd
+
+        ms = np.where(p["vec_id"].to_numpy() % 2 == 0, 3_000, 500)
+        return pd.DataFrame({"vec_id": p["vec_id"], "cluster": matching.two_pass(np.array(p["embedding"].tolist(), float), ms)})
+
+    return segment.by_group(table(spark, folder, "embeddings"), ["label"], ["vec_id"], run, "vec_id long, cluster int")
+
+
+@query()
+def without_short_cues(spark: SparkSession, folder: str) -> DataFrame:
+    """English cues with those under a second joined to a neighbour."""
+    import pandas as pd
+
+    def run(p):
+        out = matching.merge_short(list(zip(p["s"].tolist(), p["e"].tolist(), p["text"])))
+        return pd.DataFrame([(i, s, e, t) for i, (s, e, t) in enumerate(out, 1)], columns=["cue", "start_ms", "end_ms", "text"])
+
+    own = cues(spark, folder).filter("track = 'en_sub' AND s < e AND length(text) > 0")
+    return segment.by_group(own, ["episode_id"], ["s", "seq"], run, "cue int, start_ms long, end_ms long, text string")
+
+
+@query()
+def forward_cues(spark: SparkSession, folder: str) -> DataFrame:
+    """Cues pushed forward until none starts before the one before it ends."""
+    import pandas as pd
+
+    def run(p):
+        return pd.DataFrame([(q, s, e) for q, (s, e) in zip(p["seq"].tolist(), matching.rising(list(zip(p["s"].tolist(), p["e"].tolist()))))], columns=["seq", "start_ms", "end_ms"])
+
+    return segment.by_group(cues(spark, folder), ["episode_id", "track"], ["s", "seq"], run, "seq int, start_ms long, end_ms long")
