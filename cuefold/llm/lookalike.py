@@ -72,9 +72,12 @@ class Classes:
             members.setdefault(self._root(x), []).append(x)
         self.rewrite: dict[str, str] = {}
         for own in members.values():
-            # ties: the plainest, that is the shortest code point number
-            best = max(own, key=lambda x: (counts.get(x, 0), [-ord(c) for c in x]))
+            # letters in a row speak for their ligature, as their own look-alikes come in many ways; ties: the plainest
+            rows = [x for x in own if len(x) > 1 and x.isalpha()]
+            best = max(rows or own, key=lambda x: (counts.get(x, 0), [-ord(c) for c in x]))
             self.rewrite |= {x: best for x in own if x != best}
+        single = {x: to for x, to in self.rewrite.items() if len(x) == len(to) == 1}
+        self.rewrite = {x: "".join(single.get(c, c) for c in to) for x, to in self.rewrite.items()}
 
     def _root(self, x: str) -> str:
         self.parent.setdefault(x, x)

@@ -48,6 +48,13 @@ def test_classes_are_transitive_and_led_by_frequency():
     assert L.Classes([("b", "a")], {}).rewrite == {"b": "a"}
 
 
+def test_ligatures_meet_their_letters_whatever_is_frequent():
+    for counts in ({"\ufb01": 9}, {"\u0456": 9, "\ufb01": 1}, {"fi": 3}, {}):
+        do = L.Rewriter(L.Classes(L.seeds(), counts).rewrite)
+        forms = {do(t) for t in ("final office", "\ufb01nal o\ufb03ce", "f\u0456nal off\u0456ce", "\uff46\uff49nal of\ufb01ce")}
+        assert len(forms) == 1 and do(next(iter(forms))) in forms
+
+
 def brute(data, do):
     out = set()
     for i, (g, a, t) in enumerate(data):
