@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import matching, segment
+from ..operators import islands, matching, retime, segment
 from ..session import table
 from .base import CUES, cues, intervals, segments
 
@@ -67,14 +67,18 @@ def reflowed_words(spark: SparkSession, folder: str) -> DataFrame:
     words = words.select("episode_id", "seq", "n", F.posexplode("w").alias("i", "word"), "s", "e")
     at = lambda i: F.col("s") + F.floor((F.col("e") - F.col("s")) * i / F.col("n"))
     words = words.select("episode_id", "seq", "i", at(F.col("i")).alias("ws"), at(F.col("i") + 1).alias("we"), F.concat(F.col("word"), F.lit(" ")).alias("word"))
-    return segment.by_group(words.withColumnsRenamed({"ws": "s", "we": "e"}), ["episode_id"], ["s", "seq", "i"], segment.reflow(), segment.CUE_COLUMNS)
+    # groups two pauses apart never meet, so each is a task's work of its own, however long the episode
+    words = islands.sessions(words.withColumnsRenamed({"ws": "s", "we": "e"}), ["episode_id"], "s", "e", ["s", "seq", "i"], 600)
+    return segment.by_group(words, ["episode_id", "session"], ["s", "seq", "i"], segment.reflow(), segment.CUE_COLUMNS)
 
 
 @query()
 def packed_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Transcript lines as cues of two lines."""
     own = segments(spark, folder).withColumn("turn", F.col("text").startswith("-"))
-    return segment.by_group(own.select("episode_id", "name", "s", "e", "text", "turn"), ["episode_id"], ["s", "name"], segment.pack_lines(), segment.CUE_COLUMNS)
+    # a gap of over 3.5 s ends a cue whatever lies before it
+    own = islands.sessions(own.select("episode_id", "name", "s", "e", "text", "turn"), ["episode_id"], "s", "e", ["s", "name"], 3_500, strict=True)
+    return segment.by_group(own, ["episode_id", "session"], ["s", "name"], segment.pack_lines(), segment.CUE_COLUMNS)
 
 
 @query()
@@ -181,3 +185,10 @@ def forward_cues(spark: SparkSession, folder: str) -> DataFrame:
         return pd.DataFrame([(q, s, e) for q, (s, e) in zip(p["seq"].tolist(), matching.rising(list(zip(p["s"].tolist(), p["e"].tolist()))))], columns=["seq", "start_ms", "end_ms"])
 
     return segment.by_group(cues(spark, folder), ["episode_id", "track"], ["s", "seq"], run, "seq int, start_ms long, end_ms long")
+
+
+@query()
+def reflowed_cues(spark: SparkSession, folder: str) -> DataFrame:
+    """Cues of the Japanese track merged, halved and retimed."""
+    own = cues(spark, folder).filter("track = 'ja_asr' AND text IS NOT NULL")
+    return segment.by_group(own, ["episode_id"], ["s", "seq"], retime.reflow_cues(), "cue int, start_ms long, end_ms long, text string")

@@ -15,12 +15,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder, so that lost executors cost a re-read and not a re-run.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; a local temporary folder is set only where
-    that setting is absent, as in tests.
+    The folder is the one the cluster names in ``spark.checkpoint.dir``. Where that is absent a temporary folder is set,
+    but only if this machine runs all tasks, as in tests; a cluster without the setting is an error.
     """
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="cuefold-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder and not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="cuefold-"))
     return df.checkpoint()
 
 
