@@ -36,6 +36,14 @@ def sessions(df: DataFrame, keys: Sequence[str], start: str, end: str, order: Se
     return running_sum(seen.withColumn("_new", new), keys, "_block", order, "_new", "session").drop("_block", "_before", "_new")
 
 
+def whole_sessions(df: DataFrame, keys: Sequence[str], start: str, end: str, order: Sequence[str], pause_ms: int, strict: bool = False, block_ms: int = BLOCK_MS) -> DataFrame:
+    """``df`` with ``block``: parts of a key that hold whole sessions, each of those that begin within ``block_ms``."""
+    from pyspark.sql import Window
+
+    own = sessions(df, keys, start, end, order, pause_ms, strict)
+    return own.withColumn("block", F.floor(F.min(start).over(Window.partitionBy(*keys, "session")) / block_ms)).drop("session")
+
+
 def runs(df: DataFrame, keys: Sequence[str], block: str, order: Sequence[str], value: str) -> DataFrame:
     """``df`` with ``run``, from 1 per key: a new one begins where ``value`` (not null) changes."""
     seen = previous(df, keys, block, order, value, "_before").withColumn("_new", F.when(F.col("_before") == F.col(value), 0).otherwise(1))

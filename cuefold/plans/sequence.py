@@ -67,9 +67,9 @@ def reflowed_words(spark: SparkSession, folder: str) -> DataFrame:
     words = words.select("episode_id", "seq", "n", F.posexplode("w").alias("i", "word"), "s", "e")
     at = lambda i: F.col("s") + F.floor((F.col("e") - F.col("s")) * i / F.col("n"))
     words = words.select("episode_id", "seq", "i", at(F.col("i")).alias("ws"), at(F.col("i") + 1).alias("we"), F.concat(F.col("word"), F.lit(" ")).alias("word"))
-    # groups two pauses apart never meet, so each is a task's work of its own, however long the episode
-    words = islands.sessions(words.withColumnsRenamed({"ws": "s", "we": "e"}), ["episode_id"], "s", "e", ["s", "seq", "i"], 600)
-    return segment.by_group(words, ["episode_id", "session"], ["s", "seq", "i"], segment.reflow(), segment.CUE_COLUMNS)
+    # groups two pauses apart never meet, so ten minutes of them are a task's work, however long the episode
+    words = islands.whole_sessions(words.withColumnsRenamed({"ws": "s", "we": "e"}), ["episode_id"], "s", "e", ["s", "seq", "i"], 600)
+    return segment.by_group(words, ["episode_id", "block"], ["s", "seq", "i"], segment.reflow(), segment.CUE_COLUMNS)
 
 
 @query()
@@ -77,8 +77,8 @@ def packed_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Transcript lines as cues of two lines."""
     own = segments(spark, folder).withColumn("turn", F.col("text").startswith("-"))
     # a gap of over 3.5 s ends a cue whatever lies before it
-    own = islands.sessions(own.select("episode_id", "name", "s", "e", "text", "turn"), ["episode_id"], "s", "e", ["s", "name"], 3_500, strict=True)
-    return segment.by_group(own, ["episode_id", "session"], ["s", "name"], segment.pack_lines(), segment.CUE_COLUMNS)
+    own = islands.whole_sessions(own.select("episode_id", "name", "s", "e", "text", "turn"), ["episode_id"], "s", "e", ["s", "name"], 3_500, strict=True)
+    return segment.by_group(own, ["episode_id", "block"], ["s", "name"], segment.pack_lines(), segment.CUE_COLUMNS)
 
 
 @query()

@@ -110,3 +110,11 @@ def test_islands(spark):
     assert rows(longest_run(frames, ["k"], "n")) == [("t", 3)]
     same = spark.createDataFrame([("k", i, v) for i, v in enumerate("aabba")], "k string, i int, v string").selectExpr("*", "0 AS block")
     assert [r.run for r in runs(same, ["k"], "block", ["i"], "v").orderBy("i").collect()] == [1, 1, 2, 2, 3]
+
+
+def test_blocks_hold_whole_sessions(spark):
+    from cuefold.operators.islands import whole_sessions
+
+    df = spark.createDataFrame([("k", s, s + 10) for s in (0, 50, 95, 180, 300, 330)], "k string, s long, e long")
+    got = whole_sessions(df, ["k"], "s", "e", ["s"], 60, block_ms=100)
+    assert [r.block for r in got.orderBy("s").collect()] == [0, 0, 0, 1, 3, 3]
