@@ -157,7 +157,7 @@ def class_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     f"""WITH {SEGMENTS}, k AS (SELECT episode_id, name, text, (SELECT any_value(kata) FROM segments x WHERE x.episode_id = seg.episode_id AND x.name = seg.name AND x.kata IS NOT NULL) AS kata FROM seg),
 h AS (SELECT episode_id, len(list_filter(coalesce(kata, []), lambda x: contains(text, x))) AS hits, len(coalesce(kata, [])) AS terms FROM k)
-SELECT episode_id, CAST(sum(hits) AS BIGINT) AS hits, CAST(sum(terms) AS BIGINT) AS terms, CASE WHEN sum(terms) > 0 THEN sum(hits) * 1000 // sum(terms) END AS per_mille FROM h GROUP BY 1"""
+SELECT episode_id, CAST(sum(hits) AS BIGINT) AS hits, CAST(sum(terms) AS BIGINT) AS terms, CAST(CASE WHEN sum(terms) > 0 THEN sum(hits) * 1000 // sum(terms) END AS BIGINT) AS per_mille FROM h GROUP BY 1"""
 )
 def term_recall(spark: SparkSession, folder: str) -> DataFrame:
     """How many of the listed terms the segments of an episode hold."""

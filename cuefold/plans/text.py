@@ -51,7 +51,7 @@ def cue_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     f"""WITH {CUES}, d AS (SELECT *, length(regexp_replace(coalesce(text, ''), '{_WS}', '', 'g')) AS n, greatest(1, e - s) AS ms FROM timed)
-SELECT episode_id, track, count(*) AS cues, min(ms) AS min_ms, max(ms) AS max_ms, sum(ms) AS sum_ms, CAST(sum(n) AS BIGINT) AS sum_chars, CAST(max(n) AS INT) AS max_chars,
+SELECT episode_id, track, count(*) AS cues, min(ms) AS min_ms, max(ms) AS max_ms, CAST(sum(ms) AS BIGINT) AS sum_ms, CAST(sum(n) AS BIGINT) AS sum_chars, CAST(max(n) AS INT) AS max_chars,
   CAST(sum(CASE WHEN n * 1000 > 20 * ms THEN 1 ELSE 0 END) AS BIGINT) AS over_20_cps, CAST(sum(CASE WHEN ms < 1000 THEN 1 ELSE 0 END) AS BIGINT) AS under_1_s FROM d GROUP BY 1, 2"""
 )
 def track_stats(spark: SparkSession, folder: str) -> DataFrame:

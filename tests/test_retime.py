@@ -50,7 +50,7 @@ def test_reflow_of_a_group():
 
 
 def test_rules(spark):
-    df = spark.createDataFrame([("あ" * 5, "gemini-pro-x", 2_000_000), (None, "other", None), ("はい、" * 8, "flash", 5), ("x" * 500, "x", 1), ("abcdabcdabcd", "x", 1)], "t string, m string, n long")
+    df = spark.createDataFrame([("あ" * 5, "big-pro-x", 2_000_000), (None, "other", None), ("はい、" * 8, "flash", 5), ("x" * 500, "x", 1), ("abcdabcdabcd", "x", 1)], "t string, m string, n long")
     rows = df.select(R.loop_issue(F.col("t")).alias("l"), R.top_gram_count(F.col("t")).alias("g"), R.cjk_share(F.col("t")).alias("c"), R.token_cost(F.col("n"), F.col("m"), {"pro-x": 3, "pro": 1, "flash": 2}).alias("p")).collect()
     assert [r.l for r in rows] == [None, None, "repeated_clause", "line_too_long", None]
     assert [r.g for r in rows] == [2, 0, 7, 497, 3] and rows[0].c == 1.0 and rows[1].c == 0.0
