@@ -11,7 +11,6 @@ from collections.abc import Callable, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def by_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], f: Callable[[pd.DataFrame], pd.DataFrame], columns: str) -> DataFrame:

@@ -85,7 +85,6 @@ SELECT episode_id, track, seq, twin FROM r WHERE rn = 1"""
 def nearest_twin(spark: SparkSession, folder: str) -> DataFrame:
     """The other cue of equal text that is nearest in time. Neighbours in order of time are the only candidates."""
     c = cues(spark, folder).filter("length(text) > 0")
-    w = Window.partitionBy("episode_id", "track", F.xxhash64("text"), "text").orderBy("s", "e", "seq")
     # cues that start together are candidates alike, so a group's both neighbours by start are looked at whole
     g = c.groupBy("episode_id", "track", "text", "s").agg(F.array_sort(F.collect_list(F.struct("e", "seq"))).alias("own"))
     ws = Window.partitionBy("episode_id", "track", "text").orderBy("s")
@@ -94,7 +93,6 @@ def nearest_twin(spark: SparkSession, folder: str) -> DataFrame:
     one = g.select("episode_id", "track", "s", "ps", "ns", "near", F.explode("own").alias("o"))
     start = lambda x: F.when(x["d"] == 1, F.col("ps")).when(x["d"] == -1, F.col("ns")).otherwise(F.col("s"))
     ranked = F.array_min(F.transform(F.filter("near", lambda x: x["seq"] != F.col("o.seq")), lambda x: F.struct(F.abs(start(x) - F.col("s")).alias("a"), F.abs(x["e"] - F.col("o.e")).alias("b"), x["seq"].alias("seq"))))
-    del w
     return one.select("episode_id", "track", F.col("o.seq").alias("seq"), ranked.alias("r")).filter("r IS NOT NULL").select("episode_id", "track", "seq", F.col("r.seq").alias("twin"))
 
 

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import timecode
 from ..functions.text import bigram_jaccard, char_counts, contains_either, squeeze
 from ..operators import islands
-from ..operators.ordered import carry_forward, running_sum
-from ..operators.quality import cue_flags, inspect_chunks, lines_of, preflight
+from ..operators.ordered import running_sum
+from ..operators.quality import cue_flags, inspect_chunks, preflight
 from ..operators.terms import first_entries, keep_longest, term_noise, within_budget
 from ..session import table
 from .base import CUES, SEGMENTS, cues, segments

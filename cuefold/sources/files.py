@@ -27,7 +27,6 @@ def parse_cues(df: DataFrame, key: str, text: str, keep_empty: bool = True) -> D
     plain = F.replace(F.regexp_replace(F.regexp_replace(F.col(text), "^\ufeff", ""), "\r\n?", "\n"), F.lit("\ufeff"), F.lit(""))
     blocks = df.select(F.col(key), F.posexplode(F.split(plain, "\n[ \t]*\n+")).alias("_at", "_block")).filter(F.contains("_block", F.lit("-->")))
     arrow = F.regexp_extract("_block", "(?m)^([^\n]*-->[^\n]*)$", 1)
-    body = F.expr("substring(_block, instr(_block, '-->'))")
     said = F.when(F.contains(body, F.lit("\n")), F.expr("substring(substring(_block, instr(_block, '-->')), instr(substring(_block, instr(_block, '-->')), '\n') + 1)")).otherwise("")
     code = lambda side: timecode.parse(F.regexp_extract(arrow, r"((?:\d+:)?\d{1,2}:\d{2}[.,]\d{3})\s*-->\s*((?:\d+:)?\d{1,2}:\d{2}[.,]\d{3})", side))
     rows = blocks.select(key, "_at", code(1).alias("start_ms"), code(2).alias("end_ms"), F.rtrim(F.regexp_replace(said, "\n+$", "")).alias("text"))

@@ -13,7 +13,7 @@ def bare_json(reply: Column) -> Column:
     t = F.trim(F.regexp_replace(F.coalesce(reply, F.lit("")), r"^\s+|\s+$", ""))
     t = F.when(t.startswith("```"), F.regexp_replace(F.regexp_replace(t, r"^```[a-zA-Z0-9_-]*\s*", ""), r"\s*```$", "")).otherwise(t)
     inner = F.regexp_extract(t, r"(?s)(\{.*\})", 1)
-    return F.when(F.expr("false") | F.try_parse_json(t).isNotNull(), t).when(F.try_parse_json(inner).isNotNull() & (F.length(inner) > 0), inner)
+    return F.when(F.try_parse_json(t).isNotNull(), t).when(F.try_parse_json(inner).isNotNull() & (F.length(inner) > 0), inner)
 
 
 def answers(df: DataFrame, keys: Sequence[str], reply: str) -> DataFrame:
