@@ -255,7 +255,9 @@ def link_names(items: DataFrame, keys: list[str], context: str, name: str, perso
             out = [(n, [{"person_id": p, "score": s} for p, s in own]) for n in b.column(0).to_pylist() if (own := m.candidates(n))]
             yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in out], pa.string()), pa.array([c for _, c in out], pa.list_(one))], names=["_n", "found"])
 
-    looked = source.select("_n").distinct().mapInArrow(look, "_n string, found array<struct<person_id:bigint,score:double>>")
+    # names are few bytes and much work: spread them over all cores, whatever a count of bytes would say
+    spread = 4 * items.sparkSession.sparkContext.defaultParallelism
+    looked = source.select("_n").distinct().repartition(spread).mapInArrow(look, "_n string, found array<struct<person_id:bigint,score:double>>")
     known = cast.select(F.col(context).alias("_c"), F.col("person_id").cast("long").alias("p")).dropna().groupBy("_c").agg(F.collect_set("p").alias("cast"))
     met = source.join(looked, "_n").join(known, "_c", "left")
 
