@@ -1,12 +1,13 @@
 """Keyword-stuffed, link-list and tag pages: bagged decision trees on content and link features, smoothed by host.
 
-The trees learn from weak labels: the share of a page's text that lies in links, tag lists, product lines or passages
-made of the page's own most repeated words. Pages that this share calls clearly are the examples; the trees then judge
+The trees learn from weak labels: the share of a page's text that lies in links, tag lists, product lines, keyword salads
+or passages made of the page's own most repeated words. Pages that this share calls clearly are the examples; the trees then judge
 every page from all features. A page's odds are moved by those of its host, leaving the page itself out.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections import Counter
@@ -25,6 +26,7 @@ _TAG = re.compile(r"(?<!\S)[#＃]\S+")
 _PRODUCT = re.compile(r"\b[A-Z]{1,3}-?\d{3,6}\b.*?\d+ ?(?:円|元|₩|€|\$|JPY|USD|EUR|% ?OFF)|\d+% ?OFF", re.I)
 _TOKEN = re.compile(r"[ァ-ヺー]+|[㐀-鿿々]+|[가-힣]+|[\u0900-ॿ]+|[฀-๿]+|[ぁ-ゟ]+|\d+|[^\W\d_ぁ-ヿ㐀-鿿가-힣\u0900-ॿ฀-๿]+")
 _ENDS = re.compile(r"(?<=[。！？!?।|])|(?<=\.)\s")
+_STOPS = re.compile(r"(?<=[。！？!?।])|(?<=\.)\s")
 _BARS = re.compile(r"\s*\|\s*|\s/\s")
 #: What a price or discount is told by; a product line holds one.
 _PRICES = "円元₩€$%JUEjue"
@@ -32,6 +34,23 @@ _ENDED = re.compile(r"[.!?。！？।](?:\s|$)")
 NAMES = ("share", "links", "link_text", "tags", "products", "stuffed", "top1", "top3", "kinds", "same", "packed", "slashes", "finals", "log_length", "bare_lines", "numbers")
 
 
+def _salad(words: list[str]) -> bool:
+    """Whether a passage without a sentence's end says few, short words again and again, more than prose of its length does."""
+    own = [w for w in words if not "ぁ" <= w[0] <= "ゟ" and not w.isdigit()]
+    n = len(own)
+    if n < 12:
+        return False
+    count = Counter(own)
+    if len(count) < 5 or sum(map(len, count)) > 9 * len(count):  # a refrain; phrases of a script without spaces
+        return False
+    counted = 4 * sum(map(str.isdigit, words)) >= n  # entries with a number each, as in clouds of tags
+    least = 0.5 if counted else min(0.85, max(0.5, 0.5 + 0.1 * math.log2(n / 20)))
+    if sum(c for c in count.values() if c > 1) < least * n:
+        return False
+    seen = set(own[: n // 2])
+    return sum(w in seen for w in own[n // 2 :]) >= 0.4 * (n - n // 2)
+
+
 def page_features(text: str | None) -> list[float]:
     """The features ``NAMES`` of a page; zeros where there is no text."""
     if not text or not text.strip():
@@ -45,7 +64,8 @@ def page_features(text: str | None) -> list[float]:
     whole = n
     # per passage: its words and their size; words over all passages are counted once
     passages: list[tuple[int, list[str], bool]] = []
-    linked = products = tag_lines = tags = 0
+    linked = products = tag_lines = tags = salads = 0
+    said: list[str] = []  # the words of salads
     at = iter(link_sizes)
     marked = "#" in plain or "＃" in plain
     for line in plain.split("\n"):
@@ -56,9 +76,20 @@ def page_features(text: str | None) -> list[float]:
                 continue
             n -= sum(here)  # a link behind a sentence is no text of its own
             line = line.replace("\1", " ")
+        own = _STOPS.split(line)
+        if len(line) >= 40 and not (marked and ("#" in line or "＃" in line)):
+            rest = []
+            for p in own:
+                if len(p) >= 40 and p[-1] not in ".!?。！？।" and _salad(ws := _TOKEN.findall(p.lower())):
+                    salads += _size(p)
+                    said += ws
+                else:
+                    rest.append(p)
+            if len(rest) < len(own):
+                own, line = rest, " ".join(rest)
         if line.count("|") + line.count(" / ") > 2:
             own = _BARS.split(line)
-        else:
+        elif "|" in line:
             own = _ENDS.split(line)
         for p in own:
             size = _size(p)
@@ -75,7 +106,7 @@ def page_features(text: str | None) -> list[float]:
             else:
                 passages.append((size, _TOKEN.findall(p.lower()), p[-1] not in ".!?。！？।”\"」』)）"))
     n = max(n, 1)
-    words = [w for _, ws, _ in passages for w in ws if not "ぁ" <= w[0] <= "ゟ"]
+    words = [w for ws in (said, *(ws for _, ws, _ in passages)) for w in ws if not "ぁ" <= w[0] <= "ゟ"]
     count, total = Counter(words), len(words) or 1
     ranked = count.most_common(6)
     keys = [w for w, c in ranked if c >= 4 and c >= 0.12 * total and len(w) <= 12]
@@ -103,7 +134,7 @@ def page_features(text: str | None) -> list[float]:
     size = sum(x for x, _ in held)
     # passages are stuffed if they share a word, not if each repeats its own
     stuffed = lists + (size if held and max(sum(x for x, ks in held if k in ks) for k in keys) >= 0.6 * size else 0)
-    share = min(1.0, (linked + products + stuffed + tag_lines) / n)
+    share = min(1.0, (linked + products + salads + stuffed + tag_lines) / n)
     lines = 1 + plain.count("\n")
     finals = sum(map(plain.count, ".!?。！？।"))
     raw = plain.encode()

@@ -60,3 +60,18 @@ def test_table(spark):
     assert right >= len(got) - 2
     assert S.spam_scores(df.limit(0), "doc_id", "t", "url").count() == 0
     assert [r.score > 0.5 for r in S.spam_scores(df.filter("doc_id IN (1, 2)"), "doc_id", "t", "url").collect()] == [False, False]
+
+
+KEYWORDS = "cheap sale online coupon review watch free download buy best stream discount subtitles merch HD episode signup size box top preview trailer cast clip".split()
+
+
+def test_salads_of_many_keywords():
+    rng = random.Random(4)
+    for between in (" ", " - ", "・", "、", ", ", " | "):
+        text = between.join(rng.choice(KEYWORDS) for _ in range(150))
+        assert S.page_features(text)[0] > 0.9, between
+        assert S.page_features(PROSE[0] + "\n" + text)[0] > 0.55, between
+    cloud = " - ".join(f"{rng.choice(KEYWORDS)} {rng.choice(['wheel', 'ladder', 'timer', 'scale'])} ({rng.randrange(999)})" for _ in range(40))
+    assert S.page_features(cloud)[0] > 0.9
+    prose = " ".join(x.rstrip(".") for x in ("the man who had the key went down to the pier and met the crew there", "nobody knew why a lamp was left in the room by the guard", "rain fell on the market and the last boat came in late", "she asked a boy for the way to the old gate near the hill", "he pointed north and said the road was closed for the night"))
+    assert S.page_features(prose)[0] < 0.45
