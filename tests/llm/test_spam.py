@@ -75,3 +75,25 @@ def test_salads_of_many_keywords():
     assert S.page_features(cloud)[0] > 0.9
     prose = " ".join(x.rstrip(".") for x in ("the man who had the key went down to the pier and met the crew there", "nobody knew why a lamp was left in the room by the guard", "rain fell on the market and the last boat came in late", "she asked a boy for the way to the old gate near the hill", "he pointed north and said the road was closed for the night"))
     assert S.page_features(prose)[0] < 0.45
+
+
+def test_trees_do_not_restate_the_weak_rules():
+    rng = random.Random(5)
+    f = np.array([S.page_features(page(rng, i % 4 == 0)) for i in range(800)], np.float32)
+    labels = S.weak_labels(f)
+    assert set(labels[::4]) <= {1, -1} and set(np.delete(labels, np.s_[::4])) <= {0, -1}
+    contradicted = f[labels == 0][:1].copy()
+    contradicted[0, S.NAMES.index("linked")] = 0.9
+    assert S.weak_labels(contradicted)[0] == -1
+    assert not set(S.WEAK) & set(S.SEEN)
+    known = labels >= 0
+    trees = S.Trees(f[known][:, len(S.WEAK) :], (labels[known] == 1).astype(float))
+    assert len({t[0] for t in trees.trees}) > 3  # no stump that all share
+
+
+def test_a_host_of_spam_turns_a_verdict(spark):
+    rng = random.Random(6)
+    rows = [(i, page(rng, i < 300), "https://%s.example/p/%d" % ("bad" if i <= 300 else f"h{i % 9}", i)) for i in range(4000)] + [(9000, "", "https://bad.example/x")]
+    got = {r.doc_id: r for r in S.spam_scores(spark.createDataFrame(rows, "doc_id long, t string, url string"), "doc_id", "t", "url").collect()}
+    assert got[300].page_score < 0.5 < got[300].score
+    assert got[301].score < 0.5 and got[9000].score == 0
