@@ -26,6 +26,8 @@ _PRODUCT = re.compile(r"\b[A-Z]{1,3}-?\d{3,6}\b.*?\d+ ?(?:円|元|₩|€|\$|JPY
 _TOKEN = re.compile(r"[ァ-ヺー]+|[㐀-鿿々]+|[가-힣]+|[\u0900-ॿ]+|[฀-๿]+|[ぁ-ゟ]+|\d+|[^\W\d_ぁ-ヿ㐀-鿿가-힣\u0900-ॿ฀-๿]+")
 _ENDS = re.compile(r"(?<=[。！？!?।|])|(?<=\.)\s")
 _STOPS = re.compile(r"(?<=[。！？!?।])|(?<=\.)\s")
+#: What a line of one keyword doesn't hold.
+_LISTED = re.compile("[\1#＃|/:：]")
 _KANA = re.compile(r"[ぁ-ゟ]")
 _BARS = re.compile(r"\s*\|\s*|\s/\s")
 _ENDED = re.compile(r"[.!?。！？।](?:\s|$)")
@@ -38,14 +40,17 @@ SEEN = ("links", "link_text", "hashes", "top1", "top3", "kinds", "repeats", "sam
 NAMES = WEAK + SEEN
 
 
-def _salad(words: list[str]) -> bool:
-    """Whether a passage without a sentence's end says few, short words again and again, more than prose of its length does."""
+def _salad(words: list[str], letters: int = 9) -> bool:
+    """Whether a passage without a sentence's end says few, short words again and again, more than prose of its length does.
+
+    Short are words of ``letters`` letters on average.
+    """
     own = [w for w in words if not "ぁ" <= w[0] <= "ゟ" and not w.isdigit()]
     n = len(own)
     if n < 12:
         return False
     count = Counter(own)
-    if len(count) < 5 or sum(map(len, count)) > 9 * len(count):  # a refrain; phrases of a script without spaces
+    if len(count) < 5 or sum(map(len, count)) > letters * len(count):  # a refrain; phrases of a script without spaces
         return False
     counted = 4 * sum(map(str.isdigit, words)) >= n  # entries with a number each, as in clouds of tags
     least = 0.5 if counted else min(0.85, max(0.5, 0.5 + 0.1 * math.log2(n / 20)))
@@ -55,6 +60,20 @@ def _salad(words: list[str]) -> bool:
     return sum(w in seen for w in own[n // 2 :]) >= 0.4 * (n - n // 2)
 
 
+def _listed(lines: list[str]) -> dict[int, int]:
+    """The lines of keyword salads of one keyword a line, each with the number of its salad's lines."""
+    out, run = {}, []
+    for i, line in enumerate([*lines, "\1"]):
+        p = line.strip()
+        if p and len(p) <= 20 and p[-1] not in ".!?。！？।" and not _LISTED.search(p):
+            run.append((i, p.lower()))
+        elif p:
+            if len(run) >= 12 and _salad([x for _, x in run], 12):
+                out |= {k: len(run) for k, _ in run}
+            run = []
+    return out
+
+
 def page_features(text: str | None) -> list[float]:
     """The features ``NAMES`` of a page; zeros where there is no text."""
     if not text or not text.strip():
@@ -72,7 +91,14 @@ def page_features(text: str | None) -> list[float]:
     said: list[str] = []  # the words of salads
     at = iter(link_sizes)
     marked, priced = "#" in plain or "＃" in plain, len(_PRICED.findall(plain))
-    for line in plain.split("\n"):
+    all_lines = plain.split("\n")
+    listed = _listed(all_lines)
+    for i, line in enumerate(all_lines):
+        if i in listed:
+            salads += _size(line)
+            said += _TOKEN.findall(line.lower())
+            longest = max(longest, listed[i])
+            continue
         if "\1" in line:
             here = [next(at) for _ in range(line.count("\1"))]
             if all(len(x) <= 60 and not _ENDED.search(x) for x in line.split("\1")):  # a few words around links: a list

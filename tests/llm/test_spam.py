@@ -71,6 +71,9 @@ def test_salads_of_many_keywords():
         text = between.join(rng.choice(KEYWORDS) for _ in range(150))
         assert S.page_features(text)[0] > 0.9, between
         assert S.page_features(PROSE[0] + "\n" + text)[0] > 0.55, between
+    lines = "\n".join(rng.choice(KEYWORDS) for _ in range(60))
+    assert S.page_features(PROSE[0] + "\n" + lines)[0] > 0.8
+    assert S.page_features("\n".join(f"{rng.choice(['Host', 'Judge', 'Guest'])} {a}{b}" for a in "Aida Brook Chan".split() for b in "abcdefg"))[0] < 0.45
     cloud = " - ".join(f"{rng.choice(KEYWORDS)} {rng.choice(['wheel', 'ladder', 'timer', 'scale'])} ({rng.randrange(999)})" for _ in range(40))
     assert S.page_features(cloud)[0] > 0.9
     prose = " ".join(x.rstrip(".") for x in ("the man who had the key went down to the pier and met the crew there", "nobody knew why a lamp was left in the room by the guard", "rain fell on the market and the last boat came in late", "she asked a boy for the way to the old gate near the hill", "he pointed north and said the road was closed for the night"))
