@@ -1,29 +1,36 @@
 """Documents packed into containers of a fixed capacity, related ones together: BM25 retrieval fills each seed's window.
 
-Documents are dealt to shards of bounded size by a digest. A shard builds an inverted index of its items; the largest
-unused item seeds a container, and its unused neighbours by BM25 join in order of score as long as they fit. What room is
-left then takes the largest unused items that fit. Only items over the capacity are divided.
+Frequencies of terms are counted over all documents. Documents are dealt to shards of bounded size by their rarest terms
+that others share, which weigh most in BM25, so that related ones meet. A shard builds an inverted index of its items; the
+largest unused item seeds a container, and its unused neighbours by BM25 join in order of score as long as they fit. What
+room is left then takes the largest unused items that fit. Only items over the capacity are divided.
 """
 
 from __future__ import annotations
 
 import bisect
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut
 from .tokens import DEFAULT_FILE, load
 
 SCHEMA = "container_id long, position int, doc_id long, part_no int, n_parts int, from_token long, to_token long, n_tokens long"
 
 
 class Index:
-    """BM25 over items given as arrays of token ids."""
+    """BM25 over items given as arrays of token ids.
 
-    def __init__(self, items: list[np.ndarray], k1: float = 1.2, b: float = 0.75):
+    ``stats`` are the items' number, their mean size and each term's frequency where more than these items count.
+    """
+
+    def __init__(self, items: list[np.ndarray], k1: float = 1.2, b: float = 0.75, stats: tuple[int, float, np.ndarray] | None = None):
         n = len(items)
         sizes = np.array([len(x) for x in items], float)
         owner = np.repeat(np.arange(n), [len(x) for x in items])
@@ -31,9 +38,12 @@ class Index:
         pair, tf = np.unique(ids.astype(np.int64) * n + owner, return_counts=True) if n else (ids, ids)
         term, doc = pair // max(n, 1), pair % max(n, 1)
         self.terms, first, df = np.unique(term, return_index=True, return_counts=True)
-        idf = np.log((n - df + 0.5) / (df + 0.5))
-        norm = k1 * (1 - b + b * sizes / max(sizes.mean(), 1)) if n else sizes
-        self.first, self.df, self.idf, self.doc = first, df, idf, doc
+        many, mean, among = stats or (n, sizes.mean() if n else 1, None)
+        spread = df if among is None else among[self.terms]
+        idf = np.log((many - spread + 0.5) / (spread + 0.5))
+        norm = k1 * (1 - b + b * sizes / max(mean, 1)) if n else sizes
+        self.first, self.doc = first, doc
+        self.pair = np.repeat(np.arange(len(df)), df) * n + doc
         self.weight = np.repeat(idf, df) * tf * (k1 + 1) / (tf + norm[doc])
         self.n = n
         # the terms of each item that tell it from others; those in over half of the items weigh nothing
@@ -42,26 +52,35 @@ class Index:
         self.term_of = np.repeat(np.arange(len(df)), df)[keep][order]
         self.starts = np.searchsorted(doc[keep][order], np.arange(n + 1))
 
-    def scores(self, seed: int) -> np.ndarray:
-        """The score of every item for the seed's terms."""
+    def scores(self, seed: int, limit: int | None = None) -> np.ndarray:
+        """The score for the seed's terms of every item, or of the first ``limit`` items."""
+        limit = self.n if limit is None else limit
         terms = self.term_of[self.starts[seed] : self.starts[seed + 1]]
         if not len(terms):
-            return np.zeros(self.n)
-        at, n = self.first[terms], self.df[terms]
-        places = np.repeat(at - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        return np.bincount(self.doc[places], self.weight[places], self.n)
+            return np.zeros(limit)
+        spans = list(zip(self.first[terms].tolist(), np.searchsorted(self.pair, terms * self.n + limit).tolist()))
+        return np.bincount(np.concatenate([self.doc[a:b] for a, b in spans]), np.concatenate([self.weight[a:b] for a, b in spans]), limit)
+
+    def keep(self, items: np.ndarray) -> None:
+        """Leave out all items but those marked: they score 0 from now on, and the others as before."""
+        kept = items[self.doc]
+        self.first = np.concatenate([[0], np.cumsum(kept)])[self.first]
+        self.doc, self.weight, self.pair = self.doc[kept], self.weight[kept], self.pair[kept]
 
 
-def pack(sizes: list[int], tokens: list[np.ndarray], capacity: int) -> list[list[int]]:
+def pack(sizes: list[int], tokens: list[np.ndarray], capacity: int, stats: tuple[int, float, np.ndarray] | None = None) -> list[list[int]]:
     """Containers as lists of items; every item once, none over ``capacity`` in sum. Ties go to the earlier item."""
-    index = Index(tokens)
-    unused = np.ones(len(sizes), bool)
     size = np.array(sizes, np.int64)
+    # the index holds the items by size, so that those too large for the room cost nothing
+    order = np.argsort(size, kind="stable")
+    ordered, rank = size[order], np.argsort(order)
+    index, indexed = Index([tokens[i] for i in order], stats=stats), len(sizes)
+    unused = np.ones(len(sizes), bool)
     stock = sorted((s, -i) for i, s in enumerate(sizes))  # ascending; of equal sizes the earliest last
     out = []
 
     def take(i: int) -> None:
-        unused[i] = False
+        unused[rank[i]] = False
         stock.pop(bisect.bisect_left(stock, (sizes[i], -i)))
 
     while stock:
@@ -69,15 +88,22 @@ def pack(sizes: list[int], tokens: list[np.ndarray], capacity: int) -> list[list
         take(seed)
         own, room = [seed], capacity - sizes[seed]
         if stock and stock[0][0] <= room:
-            score = index.scores(seed)
-            near = np.flatnonzero((score > 0) & unused & (size <= room))
-            for i in near[np.lexsort((near, -score[near]))].tolist():
-                if sizes[i] <= room:
-                    take(i)
-                    own.append(i)
-                    room -= sizes[i]
-                    if not stock or stock[0][0] > room:
-                        break
+            if len(stock) < 0.85 * indexed:
+                index.keep(unused)
+                indexed = len(stock)
+            limit = int(np.searchsorted(ordered, room, side="right"))
+            score = index.scores(rank[seed], limit)
+            near = np.flatnonzero((score > 0) & unused[:limit])
+            near = near[np.lexsort((order[near], -score[near]))]
+            fits = ordered[near]
+            while len(near) and fits[k := int((fits <= room).argmax())] <= room:  # the next that fits
+                i = int(order[near[k]])
+                take(i)
+                own.append(i)
+                room -= sizes[i]
+                near, fits = near[k + 1 :], fits[k + 1 :]
+                if not stock or stock[0][0] > room:
+                    break
         while (k := bisect.bisect_right(stock, (room, 1)) - 1) >= 0:
             i = -stock[k][1]
             take(i)
@@ -87,7 +113,90 @@ def pack(sizes: list[int], tokens: list[np.ndarray], capacity: int) -> list[list
     return out
 
 
-def pack_documents(df: DataFrame, doc_id: str, text: str, capacity: int = 2048, shard_chars: int = 1_000_000, file: str = DEFAULT_FILE) -> DataFrame:
+def _parts(ids: np.ndarray, capacity: int) -> list[np.ndarray]:
+    return [ids[k : k + capacity] for k in range(0, len(ids), capacity)]
+
+
+def _rarest(ids: np.ndarray, among: np.ndarray) -> tuple[int, int]:
+    """The two rarest terms that others have too, -1 where there is none; of equal ones the lower."""
+    terms = np.unique(ids)
+    terms = terms[among[terms] > 1]
+    if len(terms) > 2:
+        rare = among[terms]
+        low = np.flatnonzero(rare <= np.partition(rare, 1)[1])
+        terms = terms[low[np.argsort(rare[low], kind="stable")[:2]]]
+    else:
+        terms = terms[np.argsort(among[terms], kind="stable")]
+    return (*map(int, terms), -1, -1)[:2]
+
+
+def _share(number: int) -> float:
+    """A place from 0 to 1 for a number, spread evenly."""
+    return ((number + 2) * 0x9E3779B97F4A7C15 % 2**64 >> 11) / 2**53
+
+
+def deal(df: DataFrame, capacity: int, shard_chars: int, vocabulary: int) -> tuple[DataFrame, tuple[int, float, np.ndarray], int]:
+    """``df`` (``doc_id, ids, chars, h``) with its ``shard``; the figures for ``Index`` over all items; the number of shards.
+
+    Shards are cut from the order of the documents' rarest shared term, then their second; one that gets over twice
+    ``shard_chars`` (very many documents alike) is divided by digest. What comes to the driver is bounded by the vocabulary
+    and the number of shards.
+    """
+    kind = _kind(vocabulary)
+
+    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count, items, size = np.zeros(vocabulary, np.int64), 0, 0
+        for b in batches:
+            for ids in b.column(1).to_pylist():
+                for own in _parts(np.frombuffer(ids, kind), capacity):
+                    count[np.unique(own)] += 1
+                    items, size = items + 1, size + len(own)
+        terms = np.flatnonzero(count)
+        yield pa.RecordBatch.from_pydict({"k": pa.array([*terms, -1, -2], pa.int64()), "n": pa.array([*count[terms], items, size], pa.int64())})
+
+    among, figures = np.zeros(vocabulary, np.int64), {-1: 0, -2: 0}
+    for r in df.mapInArrow(frequencies, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
+        if r.k < 0:
+            figures[r.k] = r.n
+        else:
+            among[r.k] = r.n
+    stats = (figures[-1], figures[-2] / max(1, figures[-1]), among)
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rare = np.array([_rarest(np.frombuffer(ids, kind), among) for ids in b.column(1).to_pylist()], np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rare[:, 0]), pa.array([_share(int(k)) for k in rare[:, 1]], pa.float64())], names=[*b.schema.names, "first", "share"])
+
+    keyed = cut(df.mapInArrow(keys, "doc_id long, ids binary, chars long, h long, first long, share double"))
+    per = sorted((r["first"], r.n) for r in keyed.groupBy("first").agg(F.sum("chars").alias("n")).collect())
+    # what no term places is placed by digest
+    size = dict(per)
+    start = dict(zip(size, np.concatenate([[0], np.cumsum([n for _, n in per])[:-1]]).tolist())) if per else {}
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = [int(start[k] + (_share(h) if k < 0 else s) * size[k]) // shard_chars for h, k, s in zip(*(b.column(i).to_pylist() for i in (3, 4, 5)))]
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(at, pa.int64())], names=[*b.schema.names[:4], "at"])
+
+    placed = keyed.mapInArrow(place, "doc_id long, ids binary, chars long, h long, at long")
+    first, shards = {}, 0
+    for r in sorted(placed.groupBy("at").agg(F.sum("chars").alias("n")).collect()):
+        many = -(-r.n // shard_chars) if r.n > 2 * shard_chars else 1
+        first[r["at"]], shards = (shards, many), shards + many
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = [first[at][0] + h % first[at][1] for h, at in zip(b.column(3).to_pylist(), b.column(4).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(own, pa.int64())], names=["doc_id", "ids", "shard"])
+
+    return placed.mapInArrow(number, "doc_id long, ids binary, shard long"), stats, max(1, shards)
+
+
+def _kind(vocabulary: int) -> str:
+    return "<u2" if vocabulary <= 1 << 16 else "<u4"
+
+
+def pack_documents(df: DataFrame, doc_id: str, text: str, capacity: int = 2048, shard_chars: int = 4_000_000, file: str = DEFAULT_FILE) -> DataFrame:
     """The containers' contents, one row ``SCHEMA`` for each item of each container, in filling order.
 
     An item is a document or, where its text has more than ``capacity`` tokens, one of its parts ``from_token`` to
@@ -96,29 +205,34 @@ def pack_documents(df: DataFrame, doc_id: str, text: str, capacity: int = 2048,
     null one is packed too. Other columns are ignored.
     """
     content = Path(file).read_bytes()
+    vocabulary = load(content).n_vocab
+    kind = _kind(vocabulary)
     source = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("t")).filter("length(t) > 0")
-    chars = source.agg(F.sum(F.length("t").cast("long")).alias("n")).first().n or 0
-    shards = max(1, -(-chars // shard_chars))
-    # a task gets few shards: what they cost is computing, which no count of bytes tells
-    dealt = source.withColumn("shard", F.pmod(F.xxhash64("doc_id", "t"), F.lit(shards)).cast("long")).repartition(shards, "shard")
 
-    def fill(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = load(content)
-        pdf = pdf.sort_values(["doc_id", "t"], kind="stable")
+        for b in batches:
+            ids = [np.array(enc.encode_ordinary(t), kind).tobytes() for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary()), b.column(2), b.column(3)], names=["doc_id", "ids", "chars", "h"])
+
+    encoded = source.select("doc_id", "t", F.length("t").cast("long").alias("chars"), F.xxhash64("doc_id", "t").alias("h"))
+    dealt, stats, shards = deal(cut(encoded.mapInArrow(encode, "doc_id long, ids binary, chars long, h long")), capacity, shard_chars, vocabulary)
+
+    def fill(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["doc_id", "ids"], kind="stable")
         items, tokens = [], []
-        for d, t in zip(pdf["doc_id"], pdf["t"]):
-            ids = np.array(enc.encode_ordinary(t), np.int32)
-            parts = -(-len(ids) // capacity)
-            for k in range(parts):
-                own = ids[k * capacity : (k + 1) * capacity]
-                items.append((d, k + 1, parts, k * capacity, k * capacity + len(own), len(own)))
+        for d, t in zip(pdf["doc_id"], pdf["ids"]):
+            parts = _parts(np.frombuffer(t, kind), capacity)
+            for k, own in enumerate(parts):
+                items.append((d, k + 1, len(parts), k * capacity, k * capacity + len(own), len(own)))
                 tokens.append(own)
         rows = []
-        for c, own in enumerate(pack([x[5] for x in items], tokens, capacity)):
+        for c, own in enumerate(pack([x[5] for x in items], tokens, capacity, stats)):
             rows += [((int(key[0]) << 32) + c, p, *items[i]) for p, i in enumerate(own, 1)]
         return pd.DataFrame(rows, columns=[f.split()[0] for f in SCHEMA.split(", ")])
 
-    return dealt.groupBy("shard").applyInPandas(fill, SCHEMA)
+    # a task gets few shards: what they cost is computing, which no count of bytes tells
+    return dealt.repartition(shards, "shard").groupBy("shard").applyInPandas(fill, SCHEMA)
 
 
 def fill_report(packed: DataFrame, capacity: int = 2048) -> DataFrame:

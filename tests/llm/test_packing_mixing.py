@@ -72,6 +72,31 @@ def test_documents(spark):
     assert report.tokens == sum(sizes.values()) and 0 < report.fill <= 1
 
 
+def test_copies_meet_in_a_shard(spark):
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(3000)]
+    texts = [" ".join(rng.choices(words, k=60)) for _ in range(120)]
+    docs = [(i, t) for i, t in enumerate(texts)] + [(1000 + i, t + " end") for i, t in enumerate(texts)]
+    got = packing.pack_documents(spark.createDataFrame(docs, "doc_id long, t string"), "doc_id", "t", 1024, shard_chars=5_000).collect()
+    shard = {r.doc_id: r.container_id >> 32 for r in got}
+    assert len(shard) == 240 and len(set(shard.values())) > 5
+    assert sum(shard[i] == shard[1000 + i] for i in range(120)) > 100
+
+
+def test_hot_documents_are_divided(spark):
+    docs = [(i, "alpha beta gamma " * 10) for i in range(300)]
+    got = packing.pack_documents(spark.createDataFrame(docs, "doc_id long, t string"), "doc_id", "t", 512, shard_chars=5_000).collect()
+    per = Counter(r.container_id >> 32 for r in got)
+    assert sum(per.values()) == 300 and max(per.values()) < 100
+
+
+def test_frequencies_of_all_items_count():
+    items, among = [np.array([1, 2]), np.array([1, 3])], np.zeros(9, int)
+    among[[1, 2, 3]] = 2, 1, 1
+    assert packing.Index(items).scores(0)[1] == 0  # here in all items, but rare among all
+    assert packing.Index(items, stats=(100, 2.0, among)).scores(0)[1] > 0
+
+
 def test_token_counts(spark):
     df = spark.createDataFrame(DOCS, "doc_id long, t string, n_tokens string")
     got = {r.doc_id: r.n_tokens for r in tokens.count_tokens(df, ["doc_id"], "t").collect()}
