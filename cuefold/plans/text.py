@@ -241,6 +241,21 @@ def top_screen_terms(spark: SparkSession, folder: str) -> DataFrame:
     return per.withColumn("rank", F.row_number().over(Window.partitionBy("episode_id").orderBy(score.desc(), F.col("term").desc()))).filter("rank <= 10")
 
 
+def effective_ids(speakers: DataFrame) -> DataFrame:
+    """``episode_id, spk_id, effective_id`` for chains of merges of any length."""
+    from ..session import cut
+
+    one = cut(speakers.select("episode_id", "spk_id", "merged_into").dropDuplicates(["episode_id", "spk_id"]))
+    known = one.select("episode_id", "spk_id", F.coalesce("merged_into", "spk_id").alias("to"))
+    for _ in range(one.count().bit_length() + 1):  # no chain is longer; only circles get this far
+        step = known.select("episode_id", F.col("spk_id").alias("to"), F.col("to").alias("far"))
+        known = cut(known.join(step, ["episode_id", "to"], "left").select("episode_id", "spk_id", F.coalesce("far", "to").alias("to"), (F.coalesce("far", "to") != F.col("to")).alias("moved")))
+        if known.filter("moved").isEmpty():
+            break
+    merged = one.filter("merged_into IS NOT NULL").select("episode_id", F.col("spk_id").alias("to"))
+    return known.join(merged, ["episode_id", "to"], "left_anti").select("episode_id", "spk_id", F.col("to").alias("effective_id"))
+
+
 @query(
     """WITH RECURSIVE u AS (SELECT DISTINCT episode_id, spk_id, name, merged_into FROM speakers),
 r AS (SELECT episode_id, spk_id, spk_id AS got, merged_into AS nxt, 0 AS hops FROM u UNION ALL
@@ -248,15 +263,8 @@ r AS (SELECT episode_id, spk_id, spk_id AS got, merged_into AS nxt, 0 AS hops FR
 SELECT r.episode_id, r.spk_id, got AS effective_id FROM r WHERE nxt IS NULL"""
 )
 def effective_speakers(spark: SparkSession, folder: str) -> DataFrame:
-    """Each speaker id with the id it ends in after all merges, by doubling the steps until none is left."""
-    from ..session import cut
-
-    one = table(spark, folder, "speakers").select("episode_id", "spk_id", "merged_into").dropDuplicates(["episode_id", "spk_id"])
-    known = one.select("episode_id", "spk_id", F.coalesce("merged_into", "spk_id").alias("to"))
-    for _ in range(5):  # 2**5 hops; a table with longer chains keeps on below
-        step = known.select("episode_id", F.col("spk_id").alias("to"), F.col("to").alias("far"))
-        known = known.join(step, ["episode_id", "to"], "left").select("episode_id", "spk_id", F.coalesce("far", "to").alias("to"))
-    return cut(known).select("episode_id", "spk_id", F.col("to").alias("effective_id"))
+    """Each speaker id with the id it ends in after all merges, by doubling the steps until none is left; ids that merge in a circle are left out."""
+    return effective_ids(table(spark, folder, "speakers"))
 
 
 @query("SELECT spk_role, confidence, count(DISTINCT episode_id || '/' || spk_id) AS speakers, count(DISTINCT episode_id) AS episodes FROM speakers GROUP BY 1, 2")

@@ -110,3 +110,12 @@ def test_lineage(spark):
     assert got["x"] == ("r" + hashlib.sha1(b"x").hexdigest()[:8], 2000) and got["y"][1] is None
     assert lineage.latest_outputs(led).first().ledger_run_id == "y"
     assert lineage.preferred(led).first().output_path == "o"
+
+
+def test_long_chains_of_merges(spark):
+    from cuefold.plans.text import effective_ids
+
+    chain = [("e", f"s{i}", f"s{i + 1}" if i < 50 else None) for i in range(51)]
+    circle = [("e", "a", "b"), ("e", "b", "a"), ("e", "c", "a"), ("f", "s0", None)]
+    got = effective_ids(spark.createDataFrame(chain + circle, "episode_id string, spk_id string, merged_into string")).collect()
+    assert {(r.episode_id, r.spk_id): r.effective_id for r in got} == {("e", f"s{i}"): "s50" for i in range(51)} | {("f", "s0"): "s0"}
