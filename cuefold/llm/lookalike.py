@@ -20,6 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import hot_join
 from ..session import cut
 
 # Letters of different scripts with one shape, a class a word.
@@ -162,16 +163,8 @@ def _rewriter(table: dict[str, str]) -> Rewriter:
     return own[1]
 
 
-def pairs(df: DataFrame, groups: Sequence[str], row_id: str, text: str, block: int = 2000) -> DataFrame:
-    """Pairs of rows of one group whose texts differ in code points but look the same.
-
-    Returns ``groups, id_1, id_2`` with ``id_1 < id_2``, each pair once, also if a row occurs with several texts. Null
-    texts, null ids and null group values pair with nothing; texts equal in all code points are no pair; blank texts
-    look like the empty one. Other columns are ignored.
-
-    Only digests move. Classes with one spelling fall out by an aggregation with map-side combine; in the rest, rows
-    meet per ordered pair of spellings, and the rows of a frequent spelling are split into blocks of about ``block``.
-    """
+def _forms(df: DataFrame, groups: Sequence[str], row_id: str, text: str) -> DataFrame:
+    """``_g0.., id, look, raw``: digests of every text's consistent form and of the text itself, materialised."""
     gs = [f"_g{i}" for i in range(len(groups))]
     source = df.select(*[F.col(g).cast("string").alias(n) for g, n in zip(groups, gs)], F.col(row_id).cast("long").alias("id"), F.col(text).alias("t")).dropna()
     table = fit(source, "t")
@@ -189,18 +182,51 @@ def pairs(df: DataFrame, groups: Sequence[str], row_id: str, text: str, block: i
             cols = [b.column(i).cast(pa.string()) for i in range(len(gs))]
             yield pa.RecordBatch.from_arrays([*cols, b.column(len(gs)).cast(pa.int64()), pa.array(look, pa.int64()), pa.array(raw, pa.int64())], schema=schema)
 
-    ddl = ", ".join([f"{n} string" for n in gs] + ["id long", "look long", "raw long"])
-    forms = cut(source.mapInArrow(digest, ddl))
+    return cut(source.mapInArrow(digest, ", ".join([f"{n} string" for n in gs] + ["id long", "look long", "raw long"])))
+
+
+def _mixed(forms: DataFrame, of: list[str]) -> DataFrame:
+    """``of, raw, n``: the spellings of classes that have several, with their rows' number."""
+    counts = forms.groupBy(*of, "raw").agg(F.count(F.lit(1)).alias("n"))
+    several = counts.groupBy(*of).agg(F.min("raw").alias("lo"), F.max("raw").alias("hi")).filter("lo < hi").select(*of)
+    return cut(counts.join(several, of))
+
+
+def classes(df: DataFrame, groups: Sequence[str], row_id: str, text: str) -> DataFrame:
+    """``groups, id, class_id, links``: each row's class of texts that look the same, and how many other texts' rows it links to.
+
+    Only classes with texts of different code points, null-safe as :func:`pairs`; a row with several texts has a row for
+    each class, and links to a row once for each pair of texts. This says all that the pairs say, in one row a row.
+    """
+    gs = [f"_g{i}" for i in range(len(groups))]
+    of = [*gs, "look"]
+    forms = _forms(df, groups, row_id, text)
+    mixed = _mixed(forms, of)
+    linked = mixed.join(mixed.groupBy(*of).agg(F.sum("n").alias("all")), of).select(*of, "raw", (F.col("all") - F.col("n")).alias("links"))
+    found = hot_join(forms, linked, [*of, "raw"], ["id"]).groupBy(*gs, "id", "look").agg(F.sum("links").alias("links"))
+    return found.select(*[F.col(n).alias(g) for g, n in zip(groups, gs)], "id", F.col("look").alias("class_id"), "links")
+
+
+def pairs(df: DataFrame, groups: Sequence[str], row_id: str, text: str, block: int = 2000) -> DataFrame:
+    """Pairs of rows of one group whose texts differ in code points but look the same.
+
+    Returns ``groups, id_1, id_2`` with ``id_1 < id_2``, each pair once, also if a row occurs with several texts. Null
+    texts, null ids and null group values pair with nothing; texts equal in all code points are no pair; blank texts
+    look like the empty one. Other columns are ignored. Building the result runs jobs and materialises the digests.
+
+    Only digests move. Classes with one spelling fall out by an aggregation with map-side combine; in the rest, rows
+    meet per ordered pair of spellings, and the rows of a frequent spelling are dealt to several tasks in every join.
+    """
+    gs = [f"_g{i}" for i in range(len(groups))]
     of = [*gs, "look"]
-    several = forms.groupBy(*of).agg(F.min("raw").alias("lo"), F.max("raw").alias("hi")).filter("lo < hi").select(*of)
-    rows = cut(forms.join(several, of))
-    parts = F.ceil(F.count(F.lit(1)) / block).cast("int")
-    mixed = rows.groupBy(*of, "raw").agg(parts.alias("parts"))
+    forms = _forms(df, groups, row_id, text)
+    mixed = _mixed(forms, of).withColumn("parts", F.ceil(F.col("n") / block).cast("int")).drop("n")
+    rows = cut(hot_join(forms, mixed, [*of, "raw"], ["id"]))
     a = mixed.select(*of, F.col("raw").alias("raw_a"))
     b = mixed.select(*of, F.col("raw").alias("raw_b"), F.col("parts").alias("parts_b"))
     meet = a.join(b, of).filter("raw_a < raw_b")
-    left = rows.select(*of, F.col("raw").alias("raw_a"), F.col("id").alias("a")).join(meet, [*of, "raw_a"])
+    left = hot_join(rows.select(*of, F.col("raw").alias("raw_a"), F.col("id").alias("a")), meet, [*of, "raw_a"], ["a"])
     left = left.select(*of, "raw_b", "a", F.explode(F.sequence(F.lit(0), F.col("parts_b") - 1)).alias("part"))
-    right = rows.join(mixed, [*of, "raw"]).select(*of, F.col("raw").alias("raw_b"), F.col("id").alias("b"), F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"))
+    right = rows.select(*of, F.col("raw").alias("raw_b"), F.col("id").alias("b"), F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"))
     found = left.join(right, [*of, "raw_b", "part"]).filter("a <> b")
     return found.select(*[F.col(n).alias(g) for g, n in zip(groups, gs)], F.least("a", "b").alias("id_1"), F.greatest("a", "b").alias("id_2")).distinct()

@@ -15,9 +15,10 @@ from pathlib import Path
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.skew import hot_join
 from ..session import cut
 from .tokens import DEFAULT_FILE, load
 
@@ -117,92 +118,90 @@ def _parts(ids: np.ndarray, capacity: int) -> list[np.ndarray]:
     return [ids[k : k + capacity] for k in range(0, len(ids), capacity)]
 
 
-def _rarest(ids: np.ndarray, among: np.ndarray) -> tuple[int, int]:
-    """The two rarest terms that others have too, -1 where there is none; of equal ones the lower."""
-    terms = np.unique(ids)
-    terms = terms[among[terms] > 1]
-    if len(terms) > 2:
-        rare = among[terms]
-        low = np.flatnonzero(rare <= np.partition(rare, 1)[1])
-        terms = terms[low[np.argsort(rare[low], kind="stable")[:2]]]
-    else:
-        terms = terms[np.argsort(among[terms], kind="stable")]
-    return (*map(int, terms), -1, -1)[:2]
+def _flat(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of a binary column's rows in one array, without copies, and where each row's begin."""
+    if not len(column):
+        return np.zeros(0, kind), np.zeros(1, np.int64)
+    bounds = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset).astype(np.int64)
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
+    return data.view(kind), (bounds - bounds[0]) // np.dtype(kind).itemsize
 
 
-def _share(number: int) -> float:
-    """A place from 0 to 1 for a number, spread evenly."""
-    return ((number + 2) * 0x9E3779B97F4A7C15 % 2**64 >> 11) / 2**53
+def rarest(terms: np.ndarray, starts: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each row's terms the two rarest that others have too, -1 where there is none; of equal ones the lower.
+
+    Row ``i`` holds ``terms[starts[i] : starts[i + 1]]``, ascending.
+    """
+    never = np.iinfo(np.int64).max
+    rows = len(starts) - 1
+    owner = np.repeat(np.arange(rows), np.diff(starts))
+    rare = among[terms].astype(np.int64)
+    # frequency first, then the term: one number to take the least of
+    rank = np.where(rare > 1, rare * len(among) + terms, never)
+    out = []
+    for _ in range(2):
+        least = np.full(rows, never)
+        np.minimum.at(least, owner, rank)
+        out.append(np.where(least == never, -1, least % len(among)))
+        rank = np.where(rank == least[owner], never, rank)
+    return out[0], out[1]
 
 
-def deal(df: DataFrame, capacity: int, shard_chars: int, vocabulary: int) -> tuple[DataFrame, tuple[int, float, np.ndarray], int]:
-    """``df`` (``doc_id, ids, chars, h``) with its ``shard``; the figures for ``Index`` over all items; the number of shards.
+def deal(df: DataFrame, shard_chars: int, vocabulary: int, most_hot: int = 1_000_000) -> tuple[DataFrame, tuple[int, float, np.ndarray], int]:
+    """``df`` (``doc_id, ids, terms, items, tokens, chars, h``) with its ``shard``; the figures for ``Index`` over all items; the number of shards.
 
     Shards are cut from the order of the documents' rarest shared term, then their second; one that gets over twice
-    ``shard_chars`` (very many documents alike) is divided by digest. What comes to the driver is bounded by the vocabulary
-    and the number of shards.
+    ``shard_chars`` (very many documents alike) is divided by digest. What comes to the driver is a count for each term of
+    the vocabulary. Divided shards are few and sent to every task up to ``most_hot``, else joined.
     """
     kind = _kind(vocabulary)
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count, items, size = np.zeros(vocabulary, np.int64), 0, 0
+        count = np.zeros(vocabulary, np.int64)
         for b in batches:
-            for ids in b.column(1).to_pylist():
-                for own in _parts(np.frombuffer(ids, kind), capacity):
-                    count[np.unique(own)] += 1
-                    items, size = items + 1, size + len(own)
-        terms = np.flatnonzero(count)
-        yield pa.RecordBatch.from_pydict({"k": pa.array([*terms, -1, -2], pa.int64()), "n": pa.array([*count[terms], items, size], pa.int64())})
-
-    among, figures = np.zeros(vocabulary, np.int64), {-1: 0, -2: 0}
-    for r in df.mapInArrow(frequencies, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
-        if r.k < 0:
-            figures[r.k] = r.n
-        else:
-            among[r.k] = r.n
-    stats = (figures[-1], figures[-2] / max(1, figures[-1]), among)
+            count += np.bincount(_flat(b.column(0), kind)[0], minlength=vocabulary)
+        own = np.flatnonzero(count)
+        yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(count[own], pa.int64())], names=["k", "n"])
+
+    among = np.zeros(vocabulary, np.int64)
+    for r in df.select("terms").mapInArrow(frequencies, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
+        among[r.k] = r.n
+    whole = df.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("items", "tokens", "chars")]).first()
+    stats = (whole["items"], whole["tokens"] / max(1, whole["items"]), among)
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rare = np.array([_rarest(np.frombuffer(ids, kind), among) for ids in b.column(1).to_pylist()], np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rare[:, 0]), pa.array([_share(int(k)) for k in rare[:, 1]], pa.float64())], names=[*b.schema.names, "first", "share"])
+            first, second = rarest(*_flat(b.column(2), kind), among)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(5), b.column(6), pa.array(first), pa.array(second)], names=["doc_id", "ids", "chars", "h", "first", "second"])
 
-    keyed = cut(df.mapInArrow(keys, "doc_id long, ids binary, chars long, h long, first long, share double"))
-    per = sorted((r["first"], r.n) for r in keyed.groupBy("first").agg(F.sum("chars").alias("n")).collect())
+    keyed = cut(df.mapInArrow(keys, "doc_id long, ids binary, chars long, h long, first long, second long"))
+    per = keyed.groupBy("first").agg(F.sum("chars").alias("size"))
+    # at most one row for each term of the vocabulary, so that one window and a broadcast are bounded
+    start = per.withColumn("start", F.sum("size").over(Window.orderBy("first")) - F.col("size"))
     # what no term places is placed by digest
-    size = dict(per)
-    start = dict(zip(size, np.concatenate([[0], np.cumsum([n for _, n in per])[:-1]]).tolist())) if per else {}
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            at = [int(start[k] + (_share(h) if k < 0 else s) * size[k]) // shard_chars for h, k, s in zip(*(b.column(i).to_pylist() for i in (3, 4, 5)))]
-            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(at, pa.int64())], names=[*b.schema.names[:4], "at"])
-
-    placed = keyed.mapInArrow(place, "doc_id long, ids binary, chars long, h long, at long")
-    first, shards = {}, 0
-    for r in sorted(placed.groupBy("at").agg(F.sum("chars").alias("n")).collect()):
-        many = -(-r.n // shard_chars) if r.n > 2 * shard_chars else 1
-        first[r["at"]], shards = (shards, many), shards + many
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            own = [first[at][0] + h % first[at][1] for h, at in zip(b.column(3).to_pylist(), b.column(4).to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(own, pa.int64())], names=["doc_id", "ids", "shard"])
-
-    return placed.mapInArrow(number, "doc_id long, ids binary, shard long"), stats, max(1, shards)
+    place = F.pmod(F.when(F.col("first") < 0, F.col("h")).otherwise(F.xxhash64("second")), F.lit(1 << 30)) / (1 << 30)
+    placed = keyed.join(F.broadcast(start), "first").withColumn("at", F.floor((F.col("start") + place * F.col("size")) / shard_chars)).select("doc_id", "ids", "chars", "h", "at")
+    shards = whole["chars"] // shard_chars + 1
+    hot = placed.groupBy("at").agg(F.sum("chars").alias("n")).filter(F.col("n") > 2 * shard_chars).select("at", F.ceil(F.col("n") / shard_chars).alias("many"))
+    hot = cut(hot)
+    joined = placed.join(F.broadcast(hot), "at", "left") if hot.count() <= most_hot else hot_join(placed, hot, ["at"], ["h"], "left")
+    part = F.pmod("h", F.coalesce("many", F.lit(1)))
+    extra = int(hot.agg(F.coalesce(F.sum(F.col("many") - 1), F.lit(0)).alias("n")).first().n)
+    return joined.select("doc_id", "ids", (part * shards + F.col("at")).alias("shard")), stats, shards + extra
 
 
 def _kind(vocabulary: int) -> str:
     return "<u2" if vocabulary <= 1 << 16 else "<u4"
 
 
-def pack_documents(df: DataFrame, doc_id: str, text: str, capacity: int = 2048, shard_chars: int = 4_000_000, file: str = DEFAULT_FILE) -> DataFrame:
+def pack_documents(df: DataFrame, doc_id: str, text: str, capacity: int = 2048, shard_chars: int = 4_000_000, file: str = DEFAULT_FILE, most_tasks: int = 20_000) -> DataFrame:
     """The containers' contents, one row ``SCHEMA`` for each item of each container, in filling order.
 
     An item is a document or, where its text has more than ``capacity`` tokens, one of its parts ``from_token`` to
     ``to_token``, all but the last of full size. A shard gets about ``shard_chars`` code points, whatever the table's size.
     Documents of null or empty text have no tokens and no row; a repeated ``doc_id`` is packed as often as it occurs; a
-    null one is packed too. Other columns are ignored.
+    null one is packed too. Other columns are ignored. Building the result runs jobs: token ids are materialised, and terms
+    are counted. At most ``most_tasks`` tasks share the shards.
     """
     content = Path(file).read_bytes()
     vocabulary = load(content).n_vocab
@@ -212,11 +211,18 @@ def pack_documents(df: DataFrame, doc_id: str, text: str, capacity: int = 2048,
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = load(content)
         for b in batches:
-            ids = [np.array(enc.encode_ordinary(t), kind).tobytes() for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary()), b.column(2), b.column(3)], names=["doc_id", "ids", "chars", "h"])
+            ids = [enc.encode_to_numpy(t, disallowed_special=()) for t in b.column(1).to_pylist()]
+            items = [_parts(x, capacity) for x in ids]
+            # a term counts once for each part that has it
+            terms = [np.sort(np.concatenate([np.unique(x) for x in own])) if len(own) > 1 else np.unique(own[0]) for own in items]
+            blob = lambda rows: pa.array([x.astype(kind).tobytes() for x in rows], pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), blob(ids), blob(terms), pa.array([len(x) for x in items], pa.int64()), pa.array([len(x) for x in ids], pa.int64()), b.column(2), b.column(3)],
+                names=["doc_id", "ids", "terms", "items", "tokens", "chars", "h"],
+            )
 
     encoded = source.select("doc_id", "t", F.length("t").cast("long").alias("chars"), F.xxhash64("doc_id", "t").alias("h"))
-    dealt, stats, shards = deal(cut(encoded.mapInArrow(encode, "doc_id long, ids binary, chars long, h long")), capacity, shard_chars, vocabulary)
+    dealt, stats, shards = deal(cut(encoded.mapInArrow(encode, "doc_id long, ids binary, terms binary, items long, tokens long, chars long, h long")), shard_chars, vocabulary)
 
     def fill(key, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "ids"], kind="stable")
@@ -228,11 +234,11 @@ def pack_documents(df: DataFrame, doc_id: str, text: str, capacity: int = 2048,
                 tokens.append(own)
         rows = []
         for c, own in enumerate(pack([x[5] for x in items], tokens, capacity, stats)):
-            rows += [((int(key[0]) << 32) + c, p, *items[i]) for p, i in enumerate(own, 1)]
+            rows += [((int(key[0]) << 24) + c, p, *items[i]) for p, i in enumerate(own, 1)]
         return pd.DataFrame(rows, columns=[f.split()[0] for f in SCHEMA.split(", ")])
 
-    # a task gets few shards: what they cost is computing, which no count of bytes tells
-    return dealt.repartition(shards, "shard").groupBy("shard").applyInPandas(fill, SCHEMA)
+    # a task gets few shards: what they cost is computing, which no count of bytes tells; tasks stay in a number to schedule
+    return dealt.repartition(min(shards, most_tasks), "shard").groupBy("shard").applyInPandas(fill, SCHEMA)
 
 
 def fill_report(packed: DataFrame, capacity: int = 2048) -> DataFrame:

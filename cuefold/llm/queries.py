@@ -15,12 +15,20 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     return sentences.sentence_ends(cues.unionByName(segments), ["src", "row_id"], "text")
 
 
-def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+def _looks(spark: SparkSession, folder: str) -> DataFrame:
     cues = table(spark, folder, "cues").select(F.lit("cues").alias("src"), "episode_id", F.col("cue_id").alias("id"), "text")
     entries = table(spark, folder, "glossary_entries").select(F.lit("glossary_entries").alias("src"), "episode_id", F.col("entry_id").alias("id"), F.col("source").alias("text"))
     kata = table(spark, folder, "segments").select(F.lit("segments").alias("src"), "episode_id", F.col("seg_id").alias("id"), F.explode("kata").alias("text"))
-    found = lookalike.pairs(cues.unionByName(entries).unionByName(kata), ["src", "episode_id"], "id", "text")
-    return found.select("src", "id_1", "id_2")
+    return cues.unionByName(entries).unionByName(kata)
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return lookalike.pairs(_looks(spark, folder), ["src", "episode_id"], "id", "text").select("src", "id_1", "id_2")
+
+
+def p2_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """The class of each row whose text looks like another one, and the number of its links."""
+    return lookalike.classes(_looks(spark, folder), ["src", "episode_id"], "id", "text")
 
 
 def p3_pieces(spark: SparkSession, folder: str) -> DataFrame:
@@ -33,11 +41,19 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return p3_pieces(spark, folder).filter("piece_no = 1").select("cue_id", F.when(F.col("forced"), "forced").otherwise("natural").alias("kind"))
 
 
-def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+def _spoken(spark: SparkSession, folder: str) -> tuple:
     segments = table(spark, folder, "segments").select(F.lit("segments").alias("src"), "episode_id", F.col("name").alias("key"), to_ms("seg_start").alias("ms"), "text", "loaded_at")
     cues = table(spark, folder, "cues").filter("track = 'sdh'").select(F.lit("cues").alias("src"), "episode_id", F.lpad(F.col("seq").cast("string"), 12, "0").alias("key"), to_ms("start_s").alias("ms"), "text", "loaded_at")
-    found = turns.speaker_turns(segments.unionByName(cues), table(spark, folder, "speakers"), "src", "episode_id", "key", "ms", "text", "loaded_at")
-    return found.select("src", "episode_id", "turn_no", "spk_id", "first_ms", "last_ms")
+    return segments.unionByName(cues), table(spark, folder, "speakers"), "src", "episode_id", "key", "ms", "text", "loaded_at"
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return turns.speaker_turns(*_spoken(spark, folder)).select("src", "episode_id", "turn_no", "spk_id", "first_ms", "last_ms")
+
+
+def p4_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The clean speech of all turns, an utterance a row."""
+    return turns.speaker_lines(*_spoken(spark, folder))
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -85,5 +101,5 @@ SELECT cue_id, CASE WHEN regexp_matches(text, '[^\s\p{Z}\p{P}\p{S}]{121}') THEN
 FROM cues WHERE length(text) > 120
 """
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found, "p6_found": p6_found, "p7_containers": p7_containers, "p7_fill": p7_fill, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_scores": p9_scores}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_classes": p2_classes, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found, "p4_lines": p4_lines, "p6_found": p6_found, "p7_containers": p7_containers, "p7_fill": p7_fill, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_scores": p9_scores}
 ORACLE = {"p3_found": _P3}

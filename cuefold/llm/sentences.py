@@ -23,17 +23,18 @@ from .lookalike import BLANKS, SHARED_SHAPES, SHOWN_FORMATS
 #: Scripts whose words aren't divided by spaces: Thai to Tibetan, Myanmar, Khmer, kana and Han.
 _DENSE = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3041-\u30ff\u3400-\u9fff\uf900-\ufaff"
 _FINAL = ".!?！？。।॥…؟۔"
-_NOTE = r"<[^<>\n]{1,60}>|[\[【〔〈][^\]】〕〉\n]{1,60}[\]】〕〉]|\*[^*\n]{1,60}\*|\d?\d:\d\d:\d\d(?:[.,]\d+)?"
+_NOTE = r"<[^<>\n]+>|[\[【〔〈][^\[【〔〈\]】〕〉\n]+[\]】〕〉]|\*[^*\n]+\*|\d?\d:\d\d:\d\d(?:[.,]\d+)?"
 _TOKEN = re.compile(
     rf"(?P<note>{_NOTE}|[♪♫♬]+~?)"
-    r"|(?P<round>[(（][^()（）]{1,300}[)）])"
-    r"|(?P<quote>「[^「」]{0,300}」|『[^『』]{0,300}』|“[^“”]{0,300}”|„[^„“”]{0,300}[“”]|«[^«»]{0,300}»|‘[^‘’]{0,200}’)"
+    r"|(?P<round>[(（][^()（）]+[)）])"
+    r"|(?P<quote>「[^「」]*」|『[^『』]*』|“[^“”]*”|„[^„“”]*[“”]|«[^«»]*»|‘[^‘’]*’)"
     rf"|(?P<mark>[{_FINAL}]+[\"”’»」』\]]*)"
     rf"|(?P<space>(?<=[{_DENSE}])\s+)"
 )
 _INVISIBLE = re.compile("[" + "".join(chr(c) for c in range(0x10000) if unicodedata.category(chr(c)) == "Cf" and c not in SHOWN_FORMATS) + BLANKS + "\ufe00-\ufe0f]")
 _WORD = re.compile(r"[^\W_]+")
-#: What stands before speech: dashes, notes, stamps and labels.
+#: What stands before speech: dashes, notes, stamps and labels. Labels have 31 and asides 60 code points at most, as longer
+#: ones are sentences; this tells where a sentence begins, never where it ends.
 _LEAD = re.compile(
     rf"(?:[\s\-–—>♪♫♬~]+|{_NOTE}|[(（][^()（）\n.!?。！？…]{{1,60}}[)）]"
     r"|speaker[_ ]?\d+\s+-(?=\s)|[^\s:：.!?。！？「『“„«(（\[<][^:：\n.!?。！？「『“„«]{0,30}[:：](?!\d\d:))*",
@@ -286,22 +287,35 @@ class Splitter:
         return out if at is None else [(at[a], at[b - 1] + 1) for a, b in out]
 
 
-def sample_texts(df: DataFrame, text: str, fit_rows: int) -> list[str]:
-    """At most ``fit_rows`` distinct texts, those of the smallest digests: a sample that no order or layout changes.
+def sample_texts(df: DataFrame, text: str, fit_rows: int, fit_chars: int = 20_000_000) -> list[str]:
+    """A sample of distinct texts for the fit, those of the smallest digests, which no order or layout changes.
 
-    A share of the digests is cut off first, so that about three times the sample leaves the executors at any size.
+    Texts over 2,000 code points stand for each of their paragraphs, and paragraphs over that for their last 200: the end
+    is what is reliable, and a text of very many sentences would outweigh it. At most ``fit_rows`` texts or paragraphs with
+    ``fit_chars`` code points in all are taken, of texts of any length. A share of the digests is cut off first, so that about
+    three times the sample leaves the executors at any size.
     """
-    texts = df.select(F.col(text).alias("t")).filter("length(t) BETWEEN 1 AND 2000")
-    share = min(1.0, 3 * fit_rows / max(1, texts.count()))
+    own = df.select(F.col(text).alias("t"))
+    texts = own.select(F.explode(F.when(F.length("t") <= 2000, F.array("t")).otherwise(F.split("t", "\n\\s*"))).alias("t")).filter("length(t) > 0")
+    texts = texts.withColumn("t", F.when(F.length("t") <= 2000, F.col("t")).otherwise(F.substring("t", -200, 200)))
+    size = texts.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("t")), F.lit(0)).alias("chars")).first()
+    share = min(1.0, 3 * fit_rows / max(1, size.n), 3 * fit_chars / max(1, size.chars))
     kept = texts.withColumn("h", F.xxhash64("t")).filter(F.col("h") <= int((share - 0.5) * 2**64) if share < 1 else F.lit(True))
-    return [r.t for r in kept.distinct().orderBy("h", "t").limit(fit_rows).collect()]
+    out, chars = [], 0
+    for r in kept.distinct().orderBy("h", "t").limit(fit_rows).collect():
+        chars += len(r.t)
+        if chars > fit_chars and out:
+            break
+        out.append(r.t)
+    return out
 
 
 def sentence_ends(df: DataFrame, keys: list[str], text: str, fit_rows: int = 20_000) -> DataFrame:
     """One row ``keys, end_pos`` for each sentence of each row of ``df``, repeated rows included.
 
     Positions count code points up to the sentence's last one. Null, empty and speechless texts give no row; a text of
-    any length is read whole. Other columns are ignored. The model is fitted on at most ``fit_rows`` texts of ``df``.
+    any length is read whole. Other columns are ignored. The model is fitted on at most ``fit_rows`` texts or paragraphs of
+    ``df``, by jobs that run when this is called.
     """
     weights = fit(sample_texts(df, text, fit_rows))
     source = df.select(*keys, F.col(text).alias("_text")).filter("_text IS NOT NULL")

@@ -18,10 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import hot_join
 from ..session import cut
 from .sentences import _clean
 
-_LINK = re.compile(r"<a\s[^>]*>.*?</a>|\[[^\]\n]{0,200}\]\(\s*(?:https?:)?//[^)\s]*\)|(?:https?://|www\.)\S+", re.I | re.S)
+_LINK = re.compile(r"<a\s[^>]*>.*?</a>|\[[^\[\]\n]*\]\(\s*(?:https?:)?//[^)\s]*\)|(?:https?://|www\.)\S+", re.I | re.S)
 _PRODUCT = re.compile(r"\b[A-Z]{1,3}-?\d{3,6}\b.*?\d+ ?(?:円|元|₩|€|\$|JPY|USD|EUR|% ?OFF)|\d+% ?OFF", re.I)
 _TOKEN = re.compile(r"[ァ-ヺー]+|[㐀-鿿々]+|[가-힣]+|[\u0900-ॿ]+|[฀-๿]+|[ぁ-ゟ]+|\d+|[^\W\d_ぁ-ヿ㐀-鿿가-힣\u0900-ॿ฀-๿]+")
 _ENDS = re.compile(r"(?<=[。！？!?।|])|(?<=\.)\s")
@@ -270,7 +271,7 @@ def spam_scores(df: DataFrame, doc_id: str, text: str, url: str, fit_rows: int =
     1 the host's rate takes the place of the general one, as by Bayes' rule, and can turn a verdict. Trees are fitted on
     at most ``fit_rows`` pages with a weak label, chosen by digest. Null or empty texts score 0; a null or odd ``url``
     counts as the host ''. An empty table gives an empty result; if one class has no labelled page, the vote is the weak
-    share itself.
+    share itself. Building the result runs jobs; features and votes are materialised in the checkpoint folder.
     """
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url), r"^[a-zA-Z]+://(?:www\.|m\.)?([^/?#:]+)", 1)), F.lit(""))
     source = df.select(F.col(doc_id).cast("long").alias("d"), host.alias("host"), F.col(text).alias("t"))
@@ -297,12 +298,12 @@ def spam_scores(df: DataFrame, doc_id: str, text: str, url: str, fit_rows: int =
             p = np.where(held, trees.predict(f), 0.0) if trees else b.column(2).to_numpy()
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(p, pa.float64()), pa.array(held)], names=["d", "host", "share", "page_score", "held"])
 
-    voted = pages.mapInArrow(vote, "d long, host string, share double, page_score double, held boolean")
+    voted = cut(pages.mapInArrow(vote, "d long, host string, share double, page_score double, held boolean"))
     hosts = voted.groupBy("host").agg(F.sum("page_score").alias("s"), F.count(F.lit(1)).alias("n"))
     mean = hosts.agg((F.sum("s") / F.sum("n")).alias("m")).first().m or 0.0
     rate = (F.col("s") - F.col("page_score") + prior * mean) / (F.col("n") - 1 + prior)
     squeeze = lambda c: F.least(F.greatest(c, F.lit(0.01)), F.lit(0.99))
     odds = lambda c: F.log(squeeze(c) / (1 - squeeze(c)))
-    joined = voted.join(hosts, "host").withColumn("host_rate", rate)
+    joined = hot_join(voted, hosts, ["host"], ["d"]).withColumn("host_rate", rate)
     moved = odds(F.col("page_score")) + pull * (odds(F.col("host_rate")) - odds(F.lit(float(mean))))
     return joined.select(F.col("d").alias("doc_id"), "share", "page_score", "host_rate", F.when(F.col("held"), 1 / (1 + F.exp(-moved))).otherwise(0.0).alias("score"))

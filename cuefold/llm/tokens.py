@@ -38,7 +38,7 @@ def count_tokens(df: DataFrame, keep: list[str], text: str, file: str = DEFAULT_
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = load(content)
         for b in batches:
-            sizes = [len(enc.encode_ordinary(t)) if t else 0 for t in b.column(len(keep)).to_pylist()]
+            sizes = [len(enc.encode_to_numpy(t, disallowed_special=())) if t else 0 for t in b.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(keep))), pa.array(sizes, pa.int64())], names=[*keep, "n_tokens"])
 
     return source.mapInArrow(count, ddl)

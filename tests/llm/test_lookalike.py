@@ -75,6 +75,21 @@ def test_pairs_match_brute_force(spark, block):
     assert len(got) == len(set(got)) and set(got) == brute(data, L.Rewriter(table))
 
 
+def test_classes_say_what_pairs_say(spark):
+    rng = random.Random(9)
+    data = [(rng.choice(["e1", "e2", None]), i, dirty(rng, rng.choice(BASE))) for i in range(200)] + [("e1", 900 + i, "ガード") for i in range(30)] + [("e1", 7, None)]
+    df = spark.createDataFrame([(*r, "z") for r in data], "g string, id long, t string, class_id string")
+    links = {}
+    for g, a, b in L.pairs(df, ["g"], "id", "t").collect():
+        for x in (a, b):
+            links[g, x] = links.get((g, x), 0) + 1
+    got = L.classes(df, ["g"], "id", "t").collect()
+    assert {(r.g, r.id): r.links for r in got} == links and len(got) == len(links)
+    form = L.Rewriter(L.fit(df.dropna(subset=["t"]), "t"))
+    of = {i: (g, form(t)) for g, i, t in data if t is not None}
+    assert len({(r.g, r.class_id) for r in got}) == len({of[r.id] for r in got})
+
+
 def test_edges(spark):
     empty = spark.createDataFrame([], "g string, id long, t string")
     assert L.pairs(empty, ["g"], "id", "t").count() == 0

@@ -78,7 +78,7 @@ def test_copies_meet_in_a_shard(spark):
     texts = [" ".join(rng.choices(words, k=60)) for _ in range(120)]
     docs = [(i, t) for i, t in enumerate(texts)] + [(1000 + i, t + " end") for i, t in enumerate(texts)]
     got = packing.pack_documents(spark.createDataFrame(docs, "doc_id long, t string"), "doc_id", "t", 1024, shard_chars=5_000).collect()
-    shard = {r.doc_id: r.container_id >> 32 for r in got}
+    shard = {r.doc_id: r.container_id >> 24 for r in got}
     assert len(shard) == 240 and len(set(shard.values())) > 5
     assert sum(shard[i] == shard[1000 + i] for i in range(120)) > 100
 
@@ -86,7 +86,7 @@ def test_copies_meet_in_a_shard(spark):
 def test_hot_documents_are_divided(spark):
     docs = [(i, "alpha beta gamma " * 10) for i in range(300)]
     got = packing.pack_documents(spark.createDataFrame(docs, "doc_id long, t string"), "doc_id", "t", 512, shard_chars=5_000).collect()
-    per = Counter(r.container_id >> 32 for r in got)
+    per = Counter(r.container_id >> 24 for r in got)
     assert sum(per.values()) == 300 and max(per.values()) < 100
 
 
@@ -119,6 +119,7 @@ def test_mix(spark, total, block):
     for s in most:
         own = [r for r in rows if r.source == s]
         assert sum(r.used_tokens for r in own) == rep[s].budget_tokens == rep[s].drawn_tokens
+        assert rep[s].shortfall_tokens == rep[s].asked_tokens - rep[s].drawn_tokens and (rep[s].shortfall_tokens > 0) == (total == 10**9)
         assert sum(r.used_tokens != r.n_tokens for r in own) <= 1
         assert abs(rep[s].actual_share - {"a": 0.5, "b": 0.3, "c": 0.2}[s]) < 0.002
         # a source is used up before any of its documents comes again
@@ -132,6 +133,24 @@ def test_mix(spark, total, block):
         assert sum(r.used_tokens for r in rows) in (699, 700, 701)
 
 
+def test_more_sources_than_are_sent(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"s{i % 3}", "word " * (i % 7 + 1)) for i in range(60)], "doc_id long, src string, t string")
+    want = spark.createDataFrame([(f"s{i}", 0.25, 2) for i in range(4)], "source string, target_share double, max_repeats int")
+    few = sorted(map(tuple, mixing.mix(docs, want, "doc_id", "src", "t")[0].collect()))
+    monkeypatch.setattr(mixing, "MOST_SOURCES", 2)
+    assert sorted(map(tuple, mixing.mix(docs, want, "doc_id", "src", "t")[0].collect())) == few
+
+
+def test_rarest_terms():
+    rng = random.Random(3)
+    among = np.array([rng.randrange(5) for _ in range(40)])
+    rows = [sorted(rng.sample(range(40), rng.randrange(0, 12))) for _ in range(60)]
+    first, second = packing.rarest(np.array([t for r in rows for t in r], np.uint16), np.cumsum([0, *map(len, rows)]), among)
+    for r, a, b in zip(rows, first, second):
+        own = sorted((t for t in r if among[t] > 1), key=lambda t: (among[t], t))
+        assert [a, b] == (own + [-1, -1])[:2]
+
+
 def test_mix_of_nothing(spark):
     docs = spark.createDataFrame([], "doc_id long, src string, t string")
     want = spark.createDataFrame([("a", 1.0, 1)], "source string, target_share double, max_repeats int")

@@ -70,3 +70,15 @@ def test_table(spark):
     assert sorted((r.row_id, r.end_pos) for r in got.filter("row_id < 4").collect()) == [(1, 7), (1, 7), (1, 14), (1, 14)]
     assert got.filter("row_id = 4").count() == 3000
     assert S.sentence_ends(spark.createDataFrame([], "row_id long, t string"), ["row_id"], "t").count() == 0
+
+
+def test_long_texts_alone_fit_a_model(spark):
+    parts = ["Dr. Aida met Mr. Brook at 5 p.m. on the pier.", "Nobody knew who had the spare key!", "Was it late when the last boat came in?", "She put the lamp down and left the room."]
+    rows = [(i, "\n".join(" ".join(parts[(i + j + k) % 4] for k in range(3)) for j in range(30))) for i in range(60)] + [(99, "「" + "長い話。" * 150 + "」と言った。")]
+    df = spark.createDataFrame(rows, "row_id long, t string")
+    assert all(len(t) > 2000 for _, t in rows[:-1]) and len(S.sample_texts(df, "t", 20_000)) > 3
+    assert len(S.sample_texts(df, "t", 20_000, fit_chars=1_000)) < len(S.sample_texts(df, "t", 20_000))
+    got = S.sentence_ends(df, ["row_id"], "t")
+    ends = {r.row_id: r.n for r in got.groupBy("row_id").count().withColumnRenamed("count", "n").collect()}
+    assert ends[0] >= 80
+    assert got.filter("row_id = 99 AND end_pos < 603").isEmpty()  # nothing ends within a quotation, however long it is
