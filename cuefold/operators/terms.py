@@ -64,3 +64,38 @@ def keep_longest(df: DataFrame, keys: Sequence[str], term: str, grams: int = 2)
     longer = spread.select(*keys, F.col("_t").alias("_l"), "_g")
     held = rare.join(longer, [*keys, "_g"]).filter((F.col("_t") != F.col("_l")) & F.contains("_l", "_t")).select(*keys, "_t").distinct()
     return one.join(held, [*keys, "_t"], "left_anti").withColumnRenamed("_t", term)
+
+
+def contained_terms(texts: DataFrame, terms: DataFrame, keys: Sequence[str], text: str, term: str) -> DataFrame:
+    """Pairs of ``texts`` rows and the ``terms`` (distinct, of two characters or more) of the same keys that their text holds.
+
+    A term meets only texts that hold its rarest pair of letters, by the terms of the key, so no key compares all with
+    all. Null and empty texts and shorter terms match nothing.
+    """
+    pairs = lambda t: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(t) - 1), lambda i: F.substr(t, i, F.lit(2))))
+    own = terms.select(*keys, term).filter(F.length(term) > 1).distinct().withColumn("_g", F.explode(pairs(F.col(term))))
+    often = own.groupBy(*keys, "_g").agg(F.count(F.lit(1)).alias("_n"))
+    rare = own.join(often, [*keys, "_g"]).groupBy(*keys, term).agg(F.min_by("_g", F.struct("_n", "_g")).alias("_g"))
+    spread = texts.filter(F.length(text) > 1).withColumn("_g", F.explode(pairs(F.col(text))))
+    return spread.join(rare, [*keys, "_g"]).filter(F.contains(text, term)).drop("_g")
+
+
+def span_score(count: Column, term: Column, safe: bool) -> Column:
+    """A hundred times the weight of a term in a span: two a sighting, less for length; ``safe`` favours what looks like a name."""
+    from ..functions import predicates as p
+
+    score = 200 * count - 3 * F.greatest(F.lit(0), F.length(term) - 12)
+    if not safe:
+        return score - F.when(p.is_sentence_like(term), 50).otherwise(0)
+    latin = term.rlike("[A-Za-z]") & ~term.rlike("^[A-Za-z0-9 ]+$")
+    return score + F.when(p.is_entity_like(term), 200).otherwise(0) + F.when(term.rlike("[ァ-ヶ・]"), 50).otherwise(0) + F.when(F.contains(term, F.lit(" ")), 50).otherwise(0) + F.when(latin, 25).otherwise(0)
+
+
+def span_terms(counts: DataFrame, keys: Sequence[str], term: str, count: str, limit: int, safe: bool) -> DataFrame:
+    """``keys, rank, term, count``: a span's ``limit`` best terms; ties go to the more frequent, then the shorter, then the later one."""
+    from ..functions.predicates import is_prompt_safe
+
+    rows = counts.filter(is_prompt_safe(F.col(term))) if safe else counts
+    score = span_score(F.col(count), F.col(term), safe)
+    w = Window.partitionBy(*keys).orderBy(score.desc(), F.col(count).desc(), F.length(term), F.col(term).desc())
+    return rows.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit).select(*keys, "rank", term, count)
