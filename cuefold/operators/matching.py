@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import Counter
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from difflib import SequenceMatcher
 
 import numpy as np
-import pandas as pd
 
 
 def greedy_overlap(a: Sequence[tuple[int, int]], b: Sequence[tuple[int, int]]) -> list[tuple[int | None, int | None]]:
@@ -15,10 +15,15 @@ def greedy_overlap(a: Sequence[tuple[int, int]], b: Sequence[tuple[int, int]]) -
 
     Unmatched ones come with None; those of ``b`` follow at the end, so every interval occurs once.
     """
+    order = sorted(range(len(b)), key=lambda k: b[k][0])
+    starts = [b[k][0] for k in order]
+    longest = max((z - y for y, z in b), default=0)
     used: set[int] = set()
     out: list[tuple[int | None, int | None]] = []
     for i, (s, e) in enumerate(a):
-        size, j = max(((min(e, z) - max(s, y), -k) for k, (y, z) in enumerate(b) if k not in used), default=(0, 0))
+        # what may overlap starts before the end, and not further before the start than the longest lasts
+        near = order[bisect_left(starts, s - longest) : bisect_left(starts, e)]
+        size, j = max(((min(e, b[k][1]) - max(s, b[k][0]), -k) for k in near if k not in used), default=(0, 0))
         out.append((i, -j if size > 0 else None))
         if size > 0:
             used.add(-j)
@@ -72,25 +77,6 @@ def match_lines(a: Sequence[str], b: Sequence[str], least: float = 0.5) -> list[
     return [(i, pairs[i][0], pairs[i][1]) if i in pairs else (i, None, "dropped") for i in range(len(a))] + [(None, j, "added") for j in free]
 
 
-def anchors(a: Sequence[str], b: Sequence[str], band: int = 18, least: float = 0.74) -> list[tuple[int, int, float]]:
-    """Pairs of cues of two tracks of one film, rising in both: a score of 0.85 text and 0.15 place, within a band.
-
-    The band lies around the place that the last match suggests; the best in it is taken if it scores ``least``.
-    """
-    out: list[tuple[int, int, float]] = []
-    n, m = max(len(a) - 1, 1), max(len(b) - 1, 1)
-    for i, x in enumerate(a):
-        if not x:
-            continue
-        first = out[-1][1] + 1 if out else 0
-        mid = out[-1][1] + i - out[-1][0] if out else round(i * m / n)
-        scored = [(0.85 * SequenceMatcher(None, x, b[j]).ratio() + 0.15 * (1 - abs(i / n - j / m)), -j) for j in range(max(first, mid - band), min(len(b), mid + band + 1)) if b[j]]
-        score, j = max(scored, default=(0.0, 0))
-        if score >= least:
-            out.append((i, -j, score))
-    return out
-
-
 def rising(spans: Sequence[tuple[int, int]], least: int = 1) -> list[tuple[int, int]]:
     """Spans pushed forward so that none starts before the one before it ends; each keeps at least ``least``."""
     out, at = [], None
@@ -114,7 +100,7 @@ def frame_spans(frames: Sequence[tuple[int, Sequence[str]]], share: float = 0.4,
         own = set(terms)
         if not own:
             continue
-        if out and number - out[-1]["last"] <= most_gap:
+        if out and number - out[-1]["last"] <= most_gap + 1:
             span = out[-1]
             often = {t for t, c in span["counts"].items() if c > 1} or {t for t, _ in sorted(span["counts"].items(), key=lambda x: (-x[1], -len(x[0]), x[0]))[:core]}
             if any(o and (len(own & o) >= share * min(len(own), len(o))) for o in (span["seen"], often)):
@@ -173,36 +159,30 @@ def two_pass(x: np.ndarray, ms: np.ndarray, long_ms: int = 2_000, join: float =
     return out
 
 
-def merge_short(cues: Sequence[tuple[int, int, str]], least_ms: int = 1_000, most_ms: int = 7_000, most_chars: int = 45) -> list[tuple[int, int, str]]:
-    """Cues under ``least_ms`` joined to the neighbour that makes the shorter whole, the next of equals, until none can be.
+def merge_short(cues: Sequence[tuple], least_ms: int = 1_000, most_ms: int = 7_000, most_chars: int = 45, most_lines: int = 2, least_chars: int = 3) -> list[tuple]:
+    """Cues under ``least_ms`` or ``least_chars`` joined to the neighbour that makes the shorter whole, until none can be.
 
-    The joined cue keeps to ``most_ms`` and ``most_chars``; texts join by a line break. The first short cue is joined first.
+    A cue is ``(start, end, text)``, with a fourth field where it may start a turn; none is joined over the start of a turn.
+    The one before must make a whole shorter by 0.1 s. The whole keeps to ``most_ms``, ``most_chars`` (spaces and breaks don't
+    count) and ``most_lines``; texts join by a line break. The first short cue is joined first; as a join changes nothing
+    but its own neighbours, the search goes on one cue before it.
     """
-    own = list(cues)
-    while True:
-        for i, (s, e, _) in enumerate(own):
-            if e - s >= least_ms:
-                continue
-            options = []
-            for j in (i + 1, i - 1):
-                if 0 <= j < len(own):
-                    a, b = own[min(i, j)], own[max(i, j)]
-                    text = f"{a[2]}\n{b[2]}"
-                    if b[1] - a[0] <= most_ms and len(text) - 1 <= most_chars:
-                        options.append((b[1] - a[0], j < i, min(i, j), (a[0], b[1], text)))
-            if options:
-                _, _, at, whole = min(options)
-                own[at : at + 2] = [whole]
-                break
+    own = [tuple(c) for c in cues]
+    size = lambda t: len(t) - sum(map(t.count, " \n\t"))
+    i = 0
+    while i < len(own):
+        options = []
+        if own[i][1] - own[i][0] < least_ms or size(own[i][2]) < least_chars:
+            for at, more in ((i - 1, 100), (i, 0)):
+                if 0 <= at and at + 1 < len(own) and not (len(own[at + 1]) > 3 and own[at + 1][3]):
+                    a, b = own[at], own[at + 1]
+                    s, e, text = min(a[0], b[0]), max(a[1], b[1]), f"{a[2]}\n{b[2]}"
+                    if e - s <= most_ms and size(text) <= most_chars and text.count("\n") < most_lines:
+                        options.append((e - s + more, at, (s, e, text, *a[3:])))
+        if options:
+            _, at, whole = min(options, key=lambda o: o[0])
+            own[at : at + 2] = [whole]
+            i = max(0, at - 1)
         else:
-            return own
-
-
-def by_pairs(f: Callable[..., list], left: str, right: str, columns: list[str]) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """A grouped function from one on two sequences: rows whose ``side`` is 0 give the first, others the second."""
-
-    def run(p: pd.DataFrame) -> pd.DataFrame:
-        a, b = p[p["side"] == 0], p[p["side"] != 0]
-        return pd.DataFrame(f(a[left].tolist(), b[right].tolist()), columns=columns)
-
-    return run
+            i += 1
+    return own

@@ -13,6 +13,13 @@ from .ordered import previous
 SPOKEN = "--"
 VISUAL = "^\\[画面:.*\\]$"
 TERMINAL = "。！？!?…」』）)"
+# What a model says about its work instead of transcribing, and what parts a line's tokens.
+THOUGHT = (
+    "(?i)transcription|segmenting|processing the audio|plain text|speaker labels|following (?:all )?instructions|omitting silence|utterance per line|"
+    "i(?:'m| am) now|i(?:'ve| have) (?:begun|completed|started)|methodically transcribing"
+)
+HEADING = "^\\*\\*.*\\*\\*$"
+TOKEN = "[^\\s\u3000、。！？,.!?\\-]+"
 
 
 def lines_of(text) -> Column:
@@ -24,8 +31,9 @@ def lines_of(text) -> Column:
 def inspect_chunks(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
     """``keys`` (unique), line counts, marker coverage, the dominant short line, issues and a status for each chunk.
 
-    Red: no lines; visual lines alone; unmarked speech alone; a line of 500 characters; one short line (at most 12
-    characters) 12 times and in 35 % of the speech. Yellow, where nothing is red: under 85 % of the speech marked; a short
+    Red: no lines; visual lines alone; unmarked speech alone; a line of 500 characters; a line that tells a model's thoughts;
+    a spoken line in which one token stands 12 times and makes up three quarters; one short line (at most 12 characters) 12
+    times and in 35 % of the speech. Yellow, where nothing is red: under 85 % of the speech marked; a short
     line 8 times and in 25 %; at least three visual lines that are as many as the speech. Of equally frequent short lines
     the first one dominates.
     """
@@ -49,7 +57,14 @@ def inspect_chunks(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
     full = lines.join(top, list(keys), "left").withColumn("dominant_line", F.col("_top._line")).withColumn("dominant_count", F.coalesce(F.col("_top._n"), F.lit(0)))
     share = F.col("dominant_count") / F.greatest(F.size("_said"), F.lit(1))
     c = F.col
+    thought = F.exists("_lines", lambda x: x.rlike(THOUGHT) | x.rlike(HEADING) | x.isin("code", "Text"))
+    # twelve of one token that are three quarters: it is the middle one of the sorted tokens
+    tokens = lambda x: F.array_sort(F.regexp_extract_all(x, F.lit(TOKEN), F.lit(0)))
+    most = lambda t: F.size(F.filter(t, lambda y: y == F.get(t, F.floor(F.size(t) / 2).cast("int"))))
+    looped = F.exists(F.filter(F.transform("_said", tokens), lambda t: F.size(t) >= 12), lambda t: (most(t) >= 12) & (most(t) * 4 >= F.size(t) * 3))
     red = {
+        "thought_leak": thought,
+        "repeated_token_loop": looped,
         "empty_chunk": c("total_lines") == 0,
         "visual_only_chunk": (c("visual_lines") > 0) & (c("speech_lines") == 0),
         "missing_turn_markers": (c("other_lines") > 0) & (c("spoken_lines") == 0) & (c("visual_lines") == 0),

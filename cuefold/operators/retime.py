@@ -9,10 +9,11 @@ from collections.abc import Callable, Sequence
 import pandas as pd
 
 from .matching import merge_short, rising
+from .segment import reflow
 
 Cue = tuple[int, int, str]
-# Openers of questions and set-ups are told by their end or by these words.
-_ASKS = re.compile(r"[?？]$")
+# Questions and set-ups are told by their end or by these words.
+_ASKS = re.compile(r"[?？]$|何|どう|なんで|どこ|誰|かい|って")
 
 
 def letters(text: str) -> int:
@@ -36,18 +37,18 @@ def shrink_sparse(cues: Sequence[Cue], most_ms: int = 7_000, cps: int = 14) -> l
     return out
 
 
-def grow_short(cues: Sequence[Cue], least_ms: int = 1_000, most_ms: int = 7_000, cps: int = 14) -> list[Cue]:
+def grow_short(cues: Sequence[Cue], least_ms: int = 1_000, most_ms: int = 7_000, cps: int = 14, edges: tuple[int, int] = (0, 0)) -> list[Cue]:
     """Cues shorter than their text needs, grown into the silence around them, from the left end to the right.
 
     What is wanting is taken half from the left and the rest from the right; what one side lacks the other gives. Silence
-    that an earlier cue took is gone; the outer ends don't grow.
+    that an earlier cue took is gone. The outer ends grow into ``edges``, none where a track begins and ends.
     """
     out = [list(c) for c in cues]
     for i, c in enumerate(out):
         need = max(least_ms, min(most_ms, letters(c[2]) * 1000 // cps)) - (c[1] - c[0])
         if need <= 0:
             continue
-        room = [c[0] - out[i - 1][1] if i else 0, out[i + 1][0] - c[1] if i + 1 < len(out) else 0]
+        room = [c[0] - out[i - 1][1] if i else edges[0], out[i + 1][0] - c[1] if i + 1 < len(out) else edges[1]]
         room = [max(0, r) for r in room]
         left = min(room[0], need // 2)
         right = min(room[1], need - left)
@@ -117,8 +118,9 @@ def reflow_cues(most_ms: int = 7_000, most_chars: int = 45, most_lines: int = 2,
     """Packed cues (``s, e, text``, those without duration too) in their final times.
 
     Short ones merge, long ones are halved, sparse ones shrink, hurried ones grow, texts without duration are attached,
-    lines over the limit go, and no cue starts before the one before it ends.
+    lines over the limit go, no cue starts before the one before it ends, and what is under half a second joins a neighbour.
     """
+    from .repair import merge_micro
 
     def run(p: pd.DataFrame) -> pd.DataFrame:
         rows = [(s, e, (t or "").strip()) for s, e, t in zip(p["s"].tolist(), p["e"].tolist(), p["text"])]
@@ -127,7 +129,32 @@ def reflow_cues(most_ms: int = 7_000, most_chars: int = 45, most_lines: int = 2,
         cues = shrink_sparse(halve_long(cues, most_ms, most_chars), most_ms, cps)
         cues = attach_points(grow_short(cues, least_ms, most_ms, cps), [(r[0], r[2]) for r in rows if r[1] <= r[0]])
         cues = few_lines(cues, most_lines)
+        cues = [(*t, c[2]) for t, c in zip(rising([c[:2] for c in cues]), cues)]
+        cues = merge_micro(cues, 500, most_ms, most_chars, most_lines)
         spans = rising([c[:2] for c in cues])
         return pd.DataFrame([(i, s, e, c[2]) for i, ((s, e), c) in enumerate(zip(spans, cues), 1)], columns=["cue", "start_ms", "end_ms", "text"])
 
     return run
+
+
+def reflow_words(pause: int = 300, most_ms: int = 10_000, least_ms: int = 300, cps: int = 14, most_cps: int = 20) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Words (``s, e, word``) as finished cues: grouped at pauses, with words without duration, grown, and merged where too fast.
+
+    With columns ``first`` and ``last``, the whole track's bounds, the rows may be a part of it that stands 20 s from the
+    next: its outer cues grow as if the neighbours were there.
+    """
+    from .repair import merge_hurried
+
+    def run(p: pd.DataFrame) -> pd.DataFrame:
+        grouped = reflow(pause, most_ms, least_ms)(p)
+        cues = list(zip(grouped["start_ms"].tolist(), grouped["end_ms"].tolist(), grouped["text"]))
+        points = p[p["e"] <= p["s"]]
+        cues = attach_points(cues, list(zip(points["s"].tolist(), points["word"].fillna(""))))
+        edges = (most_ms * int(p["s"].min() > p["first"].iloc[0]), most_ms * int(p["e"].max() < p["last"].iloc[0])) if "first" in p and len(p) else (0, 0)
+        before = None
+        while cues != before:  # growing makes cues slower, merging makes them fewer
+            before = cues
+            cues = merge_hurried(grow_short(cues, least_ms, most_ms, cps, edges), pause, least_ms, most_ms, most_cps)
+        return pd.DataFrame([(i, s, e, t) for i, (s, e, t) in enumerate(cues, 1)], columns=["cue", "start_ms", "end_ms", "text"])
+
+    return run

@@ -199,43 +199,43 @@ def hotwords(spark: SparkSession, folder: str) -> DataFrame:
     return h.groupBy("episode_id", "term").agg(F.min("entry_id").alias("entry_id"))
 
 
-@query(f"WITH {CUES} SELECT episode_id, seq, unnest(['start', 'mid', 'end']) AS kind, unnest([s, (s + e) // 2, e]) AS at_ms FROM timed WHERE track = 'en_sub' AND s <= e AND s >= 0")
+@query(f"WITH {CUES} SELECT episode_id, track, seq, unnest(['start', 'mid', 'end']) AS kind, unnest([s, (s + e) // 2, e]) AS at_ms FROM timed WHERE s <= e AND s >= 0")
 def keyframe_times(spark: SparkSession, folder: str) -> DataFrame:
     """Three times of each cue at which to take a frame."""
-    c = cues(spark, folder).filter("track = 'en_sub' AND s <= e AND s >= 0")
-    return c.select("episode_id", "seq", F.expr("stack(3, 'start', s, 'mid', CAST(floor((s + e) / 2) AS BIGINT), 'end', e) AS (kind, at_ms)"))
+    c = cues(spark, folder).filter("s <= e AND s >= 0")
+    return c.select("episode_id", "track", "seq", F.expr("stack(3, 'start', s, 'mid', CAST(floor((s + e) / 2) AS BIGINT), 'end', e) AS (kind, at_ms)"))
 
 
 @query(
-    f"""WITH {CUES}, o AS (SELECT episode_id, s, e, text, lag(e) OVER (PARTITION BY episode_id ORDER BY s, seq) AS p FROM timed WHERE track = 'ja_asr'), g AS (SELECT episode_id, p AS a, s AS z FROM o WHERE s - p >= 4000),
-c AS (SELECT episode_id, seq, s, e, text FROM timed WHERE track = 'ja_asr' AND length(text) > 0 AND s <= e)
-SELECT g.episode_id, a AS gap_start, z AS gap_end, CAST(count(*) FILTER (c.e <= a) AS BIGINT) AS before, CAST(count(*) FILTER (c.s >= z) AS BIGINT) AS after, arg_max(text, (c.e, c.seq)) FILTER (c.e <= a) AS last_before
-FROM g JOIN c ON c.episode_id = g.episode_id AND ((c.s >= a - 30000 AND c.e <= a) OR (c.s >= z AND c.e <= z + 30000)) GROUP BY 1, 2, 3"""
+    f"""WITH {CUES}, o AS (SELECT episode_id, track, s, e, text, lag(e) OVER (PARTITION BY episode_id, track ORDER BY s, seq) AS p FROM timed), g AS (SELECT episode_id, track, p AS a, s AS z FROM o WHERE s - p >= 4000),
+c AS (SELECT episode_id, track, seq, s, e, text FROM timed WHERE length(text) > 0 AND s <= e)
+SELECT g.episode_id, g.track, a AS gap_start, z AS gap_end, CAST(count(*) FILTER (c.e <= a) AS BIGINT) AS before, CAST(count(*) FILTER (c.s >= z) AS BIGINT) AS after, arg_max(text, (c.e, c.seq)) FILTER (c.e <= a) AS last_before
+FROM g JOIN c ON c.episode_id = g.episode_id AND c.track = g.track AND ((c.s >= a - 30000 AND c.e <= a) OR (c.s >= z AND c.e <= z + 30000)) GROUP BY 1, 2, 3, 4"""
 )
 def around_gaps(spark: SparkSession, folder: str) -> DataFrame:
     """What lies wholly within 30 s before and after each silence of 4 s."""
-    own = cues(spark, folder).filter("track = 'ja_asr'")
-    gaps = islands.gaps(own, ["episode_id"], "s", "e", ["s", "seq"], 4_000).select("episode_id", "gap_start", "gap_end", (F.col("gap_start") - 30_000).alias("a"), (F.col("gap_end") + 30_000).alias("z"))
-    c = own.filter("length(text) > 0 AND s <= e").select("episode_id", "seq", "s", "e", "text")
-    met = overlap_join(gaps, c, ["episode_id"], ("a", "z"), ("s", "e"), 30_000, closed=True)
+    own = cues(spark, folder)
+    gaps = islands.gaps(own, ["episode_id", "track"], "s", "e", ["s", "seq"], 4_000).select("episode_id", "track", "gap_start", "gap_end", (F.col("gap_start") - 30_000).alias("a"), (F.col("gap_end") + 30_000).alias("z"))
+    c = own.filter("length(text) > 0 AND s <= e").select("episode_id", "track", "seq", "s", "e", "text")
+    met = overlap_join(gaps, c, ["episode_id", "track"], ("a", "z"), ("s", "e"), 30_000, closed=True)
     before, after = (F.col("s") >= F.col("a")) & (F.col("e") <= F.col("gap_start")), (F.col("s") >= F.col("gap_end")) & (F.col("e") <= F.col("z"))
     met = met.withColumn("x", before).filter(before | after)
     both = met.filter("x OR s >= gap_end")
-    return both.groupBy("episode_id", "gap_start", "gap_end").agg(
+    return both.groupBy("episode_id", "track", "gap_start", "gap_end").agg(
         F.count(F.when(F.col("e") <= F.col("gap_start"), 1)).alias("before"), F.count(F.when(F.col("s") >= F.col("gap_end"), 1)).alias("after"),
         F.max_by("text", F.when(F.col("e") <= F.col("gap_start"), F.struct("e", "seq"))).alias("last_before"),
     )
 
 
 @query(
-    f"""WITH {CUES}, p AS (SELECT episode_id, seq, s, e FROM timed WHERE track = 'sdh'), a AS (SELECT episode_id, s AS x, min(seq) * 1000 AS y FROM timed WHERE track = 'sdh' AND seq % 7 = 0 GROUP BY 1, 2),
+    f"""WITH {CUES}, {SEGMENTS}, p AS (SELECT episode_id, seq, s, e FROM timed WHERE track = 'sdh'), a AS (SELECT episode_id, s AS x, min(ws) AS y FROM seg WHERE s IS NOT NULL AND ws IS NOT NULL GROUP BY 1, 2),
 b AS (SELECT p.episode_id, p.seq, p.s, max(x) FILTER (x <= p.s) AS x0, arg_max(y, x) FILTER (x <= p.s) AS y0, min(x) FILTER (x > p.s) AS x1, arg_min(y, x) FILTER (x > p.s) AS y1 FROM p JOIN a ON a.episode_id = p.episode_id GROUP BY 1, 2, 3)
 SELECT episode_id, seq, CAST(CASE WHEN x0 IS NULL THEN y1 WHEN x1 IS NULL THEN y0 ELSE y0 + ((y1 - y0) * (s - x0)) // (x1 - x0) END AS BIGINT) AS mapped FROM b"""
 )
 def piecewise_times(spark: SparkSession, folder: str) -> DataFrame:
     """Times mapped along straight lines between anchors, and held beyond the first and last."""
     p = cues(spark, folder).filter("track = 'sdh'").select("episode_id", "seq", "s")
-    anchor = p.filter("seq % 7 = 0").groupBy("episode_id", "s").agg((F.min("seq") * 1000).cast("long").alias("y"))
+    anchor = segments(spark, folder).filter("s IS NOT NULL AND ws IS NOT NULL").groupBy("episode_id", "s").agg(F.min("ws").alias("y"))
     ev = anchor.select("episode_id", F.col("s").alias("at"), F.lit(0).alias("kind"), F.lit(-1).alias("seq"), F.struct(F.col("s").alias("x"), "y").alias("v"))
     pts = p.select("episode_id", F.col("s").alias("at"), F.lit(1).alias("kind"), F.col("seq").cast("int").alias("seq"), F.lit(None).cast("struct<x:bigint,y:bigint>").alias("v"))
     both = ev.unionByName(pts)
@@ -243,5 +243,5 @@ def piecewise_times(spark: SparkSession, folder: str) -> DataFrame:
     back = both.withColumn("at", -F.col("at")).withColumn("kind", 1 - F.col("kind"))
     aft = carry_forward(back.withColumn("block", F.floor(F.col("at") / 600_000)), ["episode_id"], "block", ["at", "kind", "seq"], "v", "b").filter("kind = 0")
     x = fore.select("episode_id", "seq", "at", "a").join(aft.select("episode_id", "seq", "b"), ["episode_id", "seq"])
-    line = F.col("a.y") + F.floor((F.col("b.y") - F.col("a.y")) * (F.col("at") - F.col("a.x")) / (F.col("b.x") - F.col("a.x")))
+    line = F.expr("a.y + (b.y - a.y) * (at - a.x) DIV (b.x - a.x)")
     return x.select("episode_id", "seq", F.when(F.col("a").isNull(), F.col("b.y")).when(F.col("b").isNull(), F.col("a.y")).otherwise(line).cast("long").alias("mapped")).filter("mapped IS NOT NULL")

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import islands, matching, retime, segment
+from ..operators import islands, matching, repair, retime, segment
 from ..session import table
-from .base import CUES, cues, intervals, segments
+from .base import CUES, INTERVALS, cues, intervals, segments
 
 QUERIES, ORACLE = {}, {}
 
@@ -36,40 +36,58 @@ def cue_batches(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    f"""WITH RECURSIVE {CUES}, v AS (SELECT episode_id, s, row_number() OVER (PARTITION BY episode_id ORDER BY s, seq) AS i FROM timed WHERE track = 'ja_asr'),
-w AS (SELECT episode_id, i, s, 0 AS cluster, s AS f FROM v WHERE i = 1 UNION ALL
-  SELECT v.episode_id, v.i, v.s, CASE WHEN v.s - w.f > 5000 THEN w.cluster + 1 ELSE w.cluster END, CASE WHEN v.s - w.f > 5000 THEN v.s ELSE w.f END FROM w JOIN v ON v.episode_id = w.episode_id AND v.i = w.i + 1)
-SELECT episode_id, CAST(cluster AS INT) AS cluster, min(s) AS first_ms, max(s) AS last_ms, CAST(count(*) AS INT) AS size FROM w GROUP BY 1, 2"""
+    f"""WITH RECURSIVE {CUES}, v AS (SELECT episode_id, track, s, row_number() OVER (PARTITION BY episode_id, track ORDER BY s, seq) AS i FROM timed),
+w AS (SELECT episode_id, track, i, s, 0 AS cluster, s AS f FROM v WHERE i = 1 UNION ALL
+  SELECT v.episode_id, v.track, v.i, v.s, CASE WHEN v.s - w.f > 5000 THEN w.cluster + 1 ELSE w.cluster END, CASE WHEN v.s - w.f > 5000 THEN v.s ELSE w.f END FROM w JOIN v ON v.episode_id = w.episode_id AND v.track = w.track AND v.i = w.i + 1),
+n AS (SELECT episode_id, track, cluster, min(s) AS first_ms, max(s) AS last_ms, CAST(count(*) AS INT) AS size FROM w GROUP BY 1, 2, 3)
+SELECT episode_id, track, first_ms, last_ms, size FROM n"""
 )
 def start_clusters(spark: SparkSession, folder: str) -> DataFrame:
     """Starts within 5 s of a cluster's first."""
-    own = cues(spark, folder).filter("track = 'ja_asr'")
-    return segment.by_group(own, ["episode_id"], ["s", "seq"], segment.near_first(5_000), segment.CLUSTER_COLUMNS)
+    # a pause of over 5 s ends a cluster whatever lies before it
+    own = cues(spark, folder).select("episode_id", "track", "s", (F.col("s") + 1).alias("e"), "seq")
+    own = islands.whole_sessions(own, ["episode_id", "track"], "s", "e", ["s", "seq"], 5_000, strict=True)
+    return segment.by_group(own, ["episode_id", "track", "block"], ["s", "seq"], segment.near_first(5_000), segment.CLUSTER_COLUMNS).select("episode_id", "track", "first_ms", "last_ms", "size")
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {CUES}, v AS (SELECT episode_id, track, s, e, row_number() OVER (PARTITION BY episode_id, track ORDER BY s, seq) AS i FROM timed WHERE s < e),
+w AS (SELECT episode_id, track, i, e - s > 25000 AS big, 0 AS c, s AS a, e AS z FROM v WHERE i = 1 UNION ALL
+  SELECT v.episode_id, v.track, v.i, e - s > 25000, CASE WHEN big OR e - s > 25000 OR (z - a >= 10000 AND (s - z > 1500 OR e - a > 25000 OR (z - a >= 18000 AND s - z > 300))) THEN c + 1 ELSE c END,
+    CASE WHEN big OR e - s > 25000 OR (z - a >= 10000 AND (s - z > 1500 OR e - a > 25000 OR (z - a >= 18000 AND s - z > 300))) THEN s ELSE a END, e FROM w JOIN v ON v.episode_id = w.episode_id AND v.track = w.track AND v.i = w.i + 1),
+g AS (SELECT episode_id, track, c, min(a) AS a, arg_max(z, i) AS z, CASE WHEN bool_or(big) THEN (arg_max(z, i) - min(a)) // 18000 + 1 ELSE 1 END AS n FROM w GROUP BY 1, 2, 3), p AS (SELECT *, unnest(range(0, n)) AS k FROM g)
+SELECT episode_id, track, CAST(row_number() OVER (PARTITION BY episode_id, track ORDER BY c, k) - 1 AS INT) AS chunk, a + (z - a) * k // n AS start_ms, a + (z - a) * (k + 1) // n AS end_ms FROM p"""
+)
 def speech_chunks(spark: SparkSession, folder: str) -> DataFrame:
     """Speech packed for recognition."""
-    return segment.by_group(cues(spark, folder).filter("track = 'ja_asr' AND s < e"), ["episode_id"], ["s", "seq"], segment.pack_speech(), segment.SPAN_COLUMNS)
+    return segment.by_group(cues(spark, folder).filter("s < e"), ["episode_id", "track"], ["s", "seq"], segment.pack_speech(), segment.SPAN_COLUMNS)
 
 
 @query()
 def covering_chunks(spark: SparkSession, folder: str) -> DataFrame:
-    """Chunks that cover each episode, cut in silences."""
-    return segment.by_group(cues(spark, folder).filter("track = 'ja_asr' AND s < e"), ["episode_id"], ["s", "seq"], segment.cover(0), segment.SPAN_COLUMNS)
+    """Chunks that cover each episode, cut in silences of a track."""
+    return segment.by_group(cues(spark, folder).filter("s < e"), ["episode_id", "track"], ["s", "seq"], segment.cover(0), segment.SPAN_COLUMNS)
+
+
+def spoken_words(spark: SparkSession, folder: str) -> DataFrame:
+    """``episode_id, track, seq, i, s, e, word``: the words of cues, or the characters where no spaces part them, timed evenly."""
+    own = cues(spark, folder).filter("s < e AND length(text) > 0")
+    parts = F.split(F.regexp_replace("text", "\\s+", " "), " ")
+    dense = F.filter(F.split(F.regexp_replace("text", "\\s+", ""), ""), lambda x: F.length(x) > 0)
+    words = own.withColumn("dense", F.size(parts) * 12 < F.length("text")).withColumn("w", F.when(F.col("dense"), dense).otherwise(F.transform(F.filter(parts, lambda x: F.length(x) > 0), lambda x: F.concat(x, F.lit(" ")))))
+    words = words.withColumn("n", F.size("w")).select("episode_id", "track", "seq", "n", F.posexplode("w").alias("i", "word"), "s", "e")
+    at = lambda i: F.col("s") + F.floor((F.col("e") - F.col("s")) * i / F.col("n"))
+    words = words.select("episode_id", "track", "seq", "i", at(F.col("i")).alias("ws"), at(F.col("i") + 1).alias("we"), "word")
+    return words.withColumnsRenamed({"ws": "s", "we": "e"})
 
 
 @query()
 def reflowed_words(spark: SparkSession, folder: str) -> DataFrame:
-    """Words, timed evenly within their cues, as new cues."""
-    own = cues(spark, folder).filter("track = 'en_sub' AND s < e AND length(text) > 0")
-    words = own.select("episode_id", "seq", "s", "e", F.split(F.regexp_replace("text", "\\s+", " "), " ").alias("w")).withColumn("n", F.size("w"))
-    words = words.select("episode_id", "seq", "n", F.posexplode("w").alias("i", "word"), "s", "e")
-    at = lambda i: F.col("s") + F.floor((F.col("e") - F.col("s")) * i / F.col("n"))
-    words = words.select("episode_id", "seq", "i", at(F.col("i")).alias("ws"), at(F.col("i") + 1).alias("we"), F.concat(F.col("word"), F.lit(" ")).alias("word"))
-    # groups two pauses apart never meet, so ten minutes of them are a task's work, however long the episode
-    words = islands.whole_sessions(words.withColumnsRenamed({"ws": "s", "we": "e"}), ["episode_id"], "s", "e", ["s", "seq", "i"], 600)
-    return segment.by_group(words, ["episode_id", "block"], ["s", "seq", "i"], segment.reflow(), segment.CUE_COLUMNS)
+    """Words as new cues. Parts of a track 20 s apart never meet, so ten minutes of them are a task's work."""
+    words = spoken_words(spark, folder)
+    bounds = words.groupBy("episode_id", "track").agg(F.min("s").alias("first"), F.max("e").alias("last"))
+    words = islands.whole_sessions(words, ["episode_id", "track"], "s", "e", ["s", "seq", "i"], 20_000, strict=True).join(bounds, ["episode_id", "track"])
+    return segment.by_group(words, ["episode_id", "track", "block"], ["s", "seq", "i"], retime.reflow_words(), "cue int, start_ms long, end_ms long, text string")
 
 
 @query()
@@ -81,11 +99,18 @@ def packed_lines(spark: SparkSession, folder: str) -> DataFrame:
     return segment.by_group(own, ["episode_id", "block"], ["s", "name"], segment.pack_lines(), segment.CUE_COLUMNS)
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {INTERVALS}, o AS (SELECT *, row_number() OVER (ORDER BY s, event_id) AS i, lag(event_type) OVER (ORDER BY s, event_id) AS p FROM iv),
+r AS (SELECT *, sum(CASE WHEN p = event_type THEN 0 ELSE 1 END) OVER (ORDER BY i ROWS UNBOUNDED PRECEDING) AS run FROM o), x AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY i) AS k FROM r),
+w AS (SELECT run, k, event_type, s AS a, e AS z, 0 AS part FROM x WHERE k = 1 UNION ALL
+  SELECT x.run, x.k, x.event_type, CASE WHEN s - z <= 1000 AND e - a <= 30000 THEN a ELSE s END, CASE WHEN s - z <= 1000 AND e - a <= 30000 THEN greatest(e, z) ELSE e END, CASE WHEN s - z <= 1000 AND e - a <= 30000 THEN part ELSE part + 1 END FROM w JOIN x ON x.run = w.run AND x.k = w.k + 1)
+SELECT min(a) AS start_ms, max(z) AS end_ms, min(event_type) AS who, CAST(count(*) AS INT) AS parts FROM w GROUP BY run, part"""
+)
 def merged_speech(spark: SparkSession, folder: str) -> DataFrame:
-    """Neighbouring intervals of one kind as one, up to 30 s."""
+    """Neighbouring intervals of one kind as one, up to 30 s. Runs of one kind never meet, so a few hundred are a task's work."""
     own = intervals(spark, folder).withColumn("who", F.col("event_type")).withColumn("day", F.floor(F.col("s") / 86_400_000))
-    return segment.by_group(own, ["day"], ["s", "event_id"], segment.merge_same(), segment.MERGED_COLUMNS)
+    own = islands.runs(own, [], "day", ["s", "event_id"], "who").withColumn("part", F.floor(F.col("run") / 500))
+    return segment.by_group(own, ["part"], ["s", "event_id"], segment.merge_same(), segment.MERGED_COLUMNS).drop("part")
 
 
 @query()
@@ -151,32 +176,37 @@ def picked_segments(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def two_pass_clusters(spark: SparkSession, folder: str) -> DataFrame:
-    """Vectors clustered in two passes, the even ones as long turns."""
+    """Vectors of each label clustered in two passes; those with a positive first coordinate stand for the long turns."""
     import numpy as np
 
     def run(p):
         import pandas as pd
 
-        ms = np.where(p["vec_id"].to_numpy() % 2 == 0, 3_000, 500)
-        return pd.DataFrame({"vec_id": p["vec_id"], "cluster": matching.two_pass(np.array(p["embedding"].tolist(), float), ms)})
+        x = np.array(p["embedding"].tolist(), float)
+        return pd.DataFrame({"vec_id": p["vec_id"], "cluster": matching.two_pass(x, np.where(x[:, 0] >= 0, 3_000, 500))})
 
     return segment.by_group(table(spark, folder, "embeddings"), ["label"], ["vec_id"], run, "vec_id long, cluster int")
 
 
 @query()
 def without_short_cues(spark: SparkSession, folder: str) -> DataFrame:
-    """English cues with those under a second joined to a neighbour."""
+    """Cues with those under a second or three letters joined to a neighbour, never over the start of a turn."""
     import pandas as pd
 
     def run(p):
-        out = matching.merge_short(list(zip(p["s"].tolist(), p["e"].tolist(), p["text"])))
-        return pd.DataFrame([(i, s, e, t) for i, (s, e, t) in enumerate(out, 1)], columns=["cue", "start_ms", "end_ms", "text"])
+        out = matching.merge_short(list(zip(p["s"].tolist(), p["e"].tolist(), p["text"], p["text"].str.startswith("-"))))
+        return pd.DataFrame([(i, s, e, t) for i, (s, e, t, _) in enumerate(out, 1)], columns=["cue", "start_ms", "end_ms", "text"])
 
-    own = cues(spark, folder).filter("track = 'en_sub' AND s < e AND length(text) > 0")
-    return segment.by_group(own, ["episode_id"], ["s", "seq"], run, "cue int, start_ms long, end_ms long, text string")
+    # what lies over 7 s apart never joins
+    own = islands.whole_sessions(cues(spark, folder).filter("s < e AND length(text) > 0"), ["episode_id", "track"], "s", "e", ["s", "seq"], 7_000, strict=True)
+    return segment.by_group(own, ["episode_id", "track", "block"], ["s", "seq"], run, "cue int, start_ms long, end_ms long, text string")
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {CUES}, v AS (SELECT episode_id, track, seq, s, e, row_number() OVER (PARTITION BY episode_id, track ORDER BY s, seq) AS i FROM timed),
+w AS (SELECT episode_id, track, i, seq, s AS a, greatest(e, s + 1) AS z FROM v WHERE i = 1 UNION ALL SELECT v.episode_id, v.track, v.i, v.seq, greatest(s, z), greatest(e, greatest(s, z) + 1) FROM w JOIN v ON v.episode_id = w.episode_id AND v.track = w.track AND v.i = w.i + 1)
+SELECT episode_id, track, CAST(seq AS INT) AS seq, a AS start_ms, z AS end_ms FROM w"""
+)
 def forward_cues(spark: SparkSession, folder: str) -> DataFrame:
     """Cues pushed forward until none starts before the one before it ends."""
     import pandas as pd
@@ -189,6 +219,89 @@ def forward_cues(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def reflowed_cues(spark: SparkSession, folder: str) -> DataFrame:
-    """Cues of the Japanese track merged, halved and retimed."""
-    own = cues(spark, folder).filter("track = 'ja_asr' AND text IS NOT NULL")
-    return segment.by_group(own, ["episode_id"], ["s", "seq"], retime.reflow_cues(), "cue int, start_ms long, end_ms long, text string")
+    """Cues merged, halved and retimed."""
+    return segment.by_group(cues(spark, folder).filter("text IS NOT NULL"), ["episode_id", "track"], ["s", "seq"], retime.reflow_cues(), "cue int, start_ms long, end_ms long, text string")
+
+
+def _with_words(f, columns: str):
+    """A query on cues beside the words of their track: ``f(cues, words)`` for each episode's track, as rows of ``columns``."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        import pandas as pd
+
+        names = [c.split()[0] for c in columns.split(", ")]
+        # the words hold more than the cues: a cue's text may be blank, and cues are those of the reflow
+        words = spoken_words(spark, folder).select("episode_id", "track", F.lit(1).alias("side"), "s", "e", F.col("word").alias("text"), "seq", "i")
+        own = cues(spark, folder).filter("s < e AND length(text) > 0").select("episode_id", "track", F.lit(0).alias("side"), "s", "e", "text", "seq", F.lit(0).alias("i"))
+
+        def one(p):
+            a, b = p[p["side"] == 0], p[p["side"] == 1]
+            rows = lambda q: list(zip(q["s"].tolist(), q["e"].tolist(), q["text"]))
+            return pd.DataFrame(f(rows(a), rows(b), a["seq"].tolist()), columns=names)
+
+        return segment.by_group(own.unionByName(words), ["episode_id", "track"], ["side", "s", "seq", "i"], one, columns)
+
+    return run
+
+
+def _spans(cue_rows, words, seqs):
+    got = repair.match_words(cue_rows, words)
+    return [(q, g[0], g[1], g[2]) for q, g in zip(seqs, got) if g]
+
+
+def _repaired(cue_rows, words, seqs):
+    got = repair.match_words(cue_rows, words)
+    out, _ = repair.repair([[*c, g[0], g[1]] for c, g in zip(cue_rows, got) if g], words)
+    return [(i, s, e, t.strip()) for i, (s, e, t, _, _) in enumerate(out, 1)]
+
+
+@query()
+def word_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """The words that each cue says, and how they were found."""
+    return _with_words(_spans, "seq int, first_word int, last_word int, how string")(spark, folder)
+
+
+@query()
+def repaired_cues(spark: SparkSession, folder: str) -> DataFrame:
+    """Cues after all repairs: short ones joined or widened, long ones split at their words."""
+    return _with_words(_repaired, "cue int, start_ms long, end_ms long, text string")(spark, folder)
+
+
+@query()
+def sentence_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """Chunks that cover each episode, cut in silences after the end of a sentence."""
+    import pandas as pd
+
+    def run(p):
+        rows = list(zip(p["s"].tolist(), p["e"].tolist(), p["text"]))
+        gaps, at = [], rows[0][1]
+        for s, e, _ in rows[1:]:
+            if s - at >= 750:
+                gaps.append((at, s))
+            at = max(at, e)
+        return pd.DataFrame([(i, *c) for i, c in enumerate(repair.sentence_cuts(gaps, rows, int(p["e"].max())))], columns=["chunk", "start_ms", "end_ms"])
+
+    return segment.by_group(cues(spark, folder).filter("s < e"), ["episode_id", "track"], ["s", "seq"], run, segment.SPAN_COLUMNS)
+
+
+def _two_tracks(spark: SparkSession, folder: str) -> DataFrame:
+    """Japanese cues and the English ones of an episode, sides 0 and 1, in order of time."""
+    own = cues(spark, folder).filter("s < e AND length(text) > 0")
+    side = F.when(F.col("track") == "ja_asr", 0).when(F.col("track") == "en_sub", 1)
+    return own.withColumn("side", side).filter("side IS NOT NULL").select("episode_id", "side", "s", "e", "text", "seq")
+
+
+@query()
+def warped_draft(spark: SparkSession, folder: str) -> DataFrame:
+    """For each Japanese cue the English ones that fall on it, by the lines between what both say alike."""
+    import pandas as pd
+
+    def run(p):
+        a, b = ([tuple(r) for r in p[p["side"] == k][["s", "e", "text"]].itertuples(index=False)] for k in (0, 1))
+        seqs = [p[p["side"] == k]["seq"].tolist() for k in (0, 1)]
+        rows = []
+        if a and b:
+            rows = [(seqs[0][k], [seqs[1][j] for j in got], alone) for k, got, alone in repair.draft(a, b, repair.text_anchors(a, b))]
+        return pd.DataFrame(rows, columns=["seq", "reference", "fallback"])
+
+    return segment.by_group(_two_tracks(spark, folder), ["episode_id"], ["side", "s", "seq"], run, "seq int, reference array<int>, fallback boolean")

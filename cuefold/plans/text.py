@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import timecode
 from ..functions.text import bigram_jaccard, char_counts, contains_either, squeeze
 from ..operators import islands
-from ..operators.ordered import running_sum
-from ..operators.quality import cue_flags, inspect_chunks, preflight
-from ..operators.terms import first_entries, keep_longest, term_noise, within_budget
+from ..operators.ordered import previous, running_sum
+from ..operators.quality import HEADING, THOUGHT, TOKEN, cue_flags, inspect_chunks, preflight
+from ..operators.terms import contained_terms, first_entries, keep_longest, term_noise, within_budget
 from ..session import table
+from ..sources.files import cue_blocks, parse_cues
 from .base import CUES, SEGMENTS, cues, segments
 
 QUERIES, ORACLE = {}, {}
@@ -109,28 +109,35 @@ def repair_regions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _LINES = f"""{SEGMENTS}, l AS (
-  SELECT episode_id, name, line, line LIKE '--%' AS spoken, regexp_matches(line, '^\\[画面:.*\\]$') AND NOT line LIKE '--%' AS visual FROM (
-    SELECT episode_id, name, unnest(p) AS line FROM (SELECT episode_id, name, list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x, ' ')), lambda x: length(x) > 0) AS p FROM seg))),
+  SELECT episode_id, name, pos, line, line LIKE '--%' AS spoken, regexp_matches(line, '^\\[画面:.*\\]$') AND NOT line LIKE '--%' AS visual FROM (
+    SELECT episode_id, name, unnest(p) AS line, unnest(range(0, len(p))) AS pos FROM (SELECT episode_id, name, list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x, ' ')), lambda x: length(x) > 0) AS p FROM seg))),
 c AS (SELECT g.episode_id, g.name, count(line) AS total, coalesce(sum(CAST(spoken AS INT)), 0) AS spoken, coalesce(sum(CAST(visual AS INT)), 0) AS visual, coalesce(max(length(line)), 0) AS longest
-  FROM seg g LEFT JOIN l USING (episode_id, name) GROUP BY 1, 2)"""
+  FROM seg g LEFT JOIN l USING (episode_id, name) GROUP BY 1, 2),
+sd AS (SELECT episode_id, name, pos, said, count(*) OVER (PARTITION BY episode_id, name) AS speech FROM (SELECT episode_id, name, pos, regexp_replace(regexp_replace(line, '^--\\s*', ''), '\\s+', ' ', 'g') AS said FROM l WHERE spoken OR NOT visual) WHERE said <> ''),
+dl AS (SELECT *, row_number() OVER (PARTITION BY episode_id, name ORDER BY n DESC, first) AS rn FROM (SELECT episode_id, name, said, max(speech) AS speech, count(*) AS n, min(pos) AS first FROM sd WHERE length(said) <= 12 GROUP BY 1, 2, 3)),
+tk AS (SELECT episode_id, name, bool_or(len(t) >= 12 AND m >= 12 AND m * 4 >= 3 * len(t)) AS looped FROM (SELECT episode_id, name, t, len(list_filter(t, lambda y: y = list_sort(t)[len(t) // 2 + 1])) AS m FROM (SELECT episode_id, name, regexp_extract_all(said, '{TOKEN}') AS t FROM sd)) GROUP BY 1, 2),
+th AS (SELECT episode_id, name, bool_or(regexp_matches(line, '{THOUGHT.replace("'", "''")}') OR regexp_matches(line, '{HEADING}') OR line IN ('code', 'Text')) AS thought FROM l GROUP BY 1, 2),
+i0 AS (SELECT c.*, coalesce(said, NULL) AS dominant_line, coalesce(n, 0) AS dominant_count, coalesce(thought, false) AS thought, coalesce(looped, false) AS looped, coalesce(n >= 12 AND n * 100 >= 35 * speech, false) AS dom_loop, coalesce(n >= 8 AND n * 4 >= speech, false) AS dom_heavy
+  FROM c LEFT JOIN (SELECT * FROM dl WHERE rn = 1) USING (episode_id, name) LEFT JOIN th USING (episode_id, name) LEFT JOIN tk USING (episode_id, name)),
+i1 AS (SELECT *, list_sort(list_filter([CASE WHEN thought THEN 'thought_leak' END, CASE WHEN looped THEN 'repeated_token_loop' END, CASE WHEN total = 0 THEN 'empty_chunk' END, CASE WHEN visual > 0 AND total = visual THEN 'visual_only_chunk' END, CASE WHEN spoken = 0 AND visual = 0 AND total > 0 THEN 'missing_turn_markers' END,
+    CASE WHEN longest >= 500 THEN 'overlong_line' END, CASE WHEN dom_loop THEN 'dominant_short_line_loop' END], lambda x: x IS NOT NULL)) AS red,
+  list_filter([CASE WHEN spoken > 0 AND total - spoken - visual > 0 AND spoken * 100 < 85 * (total - visual) THEN 'partial_turn_marker_loss' END, CASE WHEN dom_heavy AND NOT dom_loop THEN 'dominant_short_line_heavy' END, CASE WHEN visual >= 3 AND total > visual AND visual >= total - visual THEN 'visual_heavy_chunk' END], lambda x: x IS NOT NULL) AS yellow FROM i0),
+cs AS (SELECT *, CASE WHEN len(red) > 0 THEN 'red' WHEN len(yellow) > 0 THEN 'yellow' ELSE 'green' END AS status FROM i1)"""
 
 
 @query(
     f"""WITH {_LINES} SELECT episode_id, name, CAST(total AS INT) AS total_lines, CAST(spoken AS INT) AS spoken_lines, CAST(visual AS INT) AS visual_lines, CAST(longest AS INT) AS longest_line,
-  CASE WHEN total = 0 OR (visual > 0 AND total = visual) OR (spoken = 0 AND visual = 0 AND total > 0) OR longest >= 500 THEN 'red'
-       WHEN (spoken > 0 AND total - spoken - visual > 0 AND spoken * 100 < 85 * (total - visual)) OR (visual >= 3 AND total > visual AND visual >= total - visual) THEN 'yellow' ELSE 'green' END AS status FROM c"""
+  dominant_line, dominant_count, CASE WHEN total > visual THEN spoken / (total - visual)::DOUBLE END AS marker_coverage, list_sort(list_concat(red, yellow)) AS issues, status FROM cs"""
 )
 def chunk_sanity(spark: SparkSession, folder: str) -> DataFrame:
-    """Line counts and status of each transcript chunk."""
-    return inspect_chunks(segments(spark, folder), ["episode_id", "name"], "text").select("episode_id", "name", "total_lines", "spoken_lines", "visual_lines", "longest_line", "status")
+    """Line counts, the dominant short line, issues and status of each transcript chunk."""
+    own = inspect_chunks(segments(spark, folder), ["episode_id", "name"], "text")
+    return own.select("episode_id", "name", "total_lines", "spoken_lines", "visual_lines", "longest_line", "dominant_line", "dominant_count", "marker_coverage", "issues", "status")
 
 
 @query(
-    f"""WITH {_LINES}, st AS (SELECT episode_id, name,
-  CASE WHEN total = 0 OR (visual > 0 AND total = visual) OR (spoken = 0 AND visual = 0 AND total > 0) OR longest >= 500 THEN 'red'
-       WHEN (spoken > 0 AND total - spoken - visual > 0 AND spoken * 100 < 85 * (total - visual)) OR (visual >= 3 AND total > visual AND visual >= total - visual) THEN 'yellow' ELSE 'green' END AS status FROM c)
-SELECT episode_id, count(*) AS chunks, count(*) FILTER (status = 'green') AS green, count(*) FILTER (status = 'yellow') AS yellow, count(*) FILTER (status = 'red') AS red,
-  CASE WHEN count(*) FILTER (status = 'red') > 0 THEN 'repair' WHEN count(*) FILTER (status = 'yellow') > 0 THEN 'review' ELSE 'align' END AS action FROM st GROUP BY 1"""
+    f"""WITH {_LINES} SELECT episode_id, count(*) AS chunks, count(*) FILTER (status = 'green') AS green, count(*) FILTER (status = 'yellow') AS yellow, count(*) FILTER (status = 'red') AS red,
+  CASE WHEN count(*) FILTER (status = 'red') > 0 THEN 'repair' WHEN count(*) FILTER (status = 'yellow') > 0 THEN 'review' ELSE 'align' END AS action FROM cs GROUP BY 1"""
 )
 def sanity_summary(spark: SparkSession, folder: str) -> DataFrame:
     """How many chunks of an episode have each status, and what follows."""
@@ -289,33 +296,36 @@ _CODE = "lpad(CAST({t} // 3600000 AS VARCHAR), 2, '0') || ':' || lpad(CAST({t} /
 @query(f"WITH {CUES} SELECT episode_id, track, seq, {_CODE.format(t='s')} || ' --> ' || {_CODE.format(t='e')} || chr(10) || coalesce(text, '') AS block FROM timed WHERE s >= 0 AND e >= 0")
 def vtt_blocks(spark: SparkSession, folder: str) -> DataFrame:
     """Each cue as a block of a subtitle file."""
-    return cues(spark, folder).filter("s >= 0 AND e >= 0").select("episode_id", "track", "seq", F.concat(timecode.render(F.col("s")), F.lit(" --> "), timecode.render(F.col("e")), F.lit("\n"), F.coalesce("text", F.lit(""))).alias("block"))
+    own = cue_blocks(cues(spark, folder).filter("s >= 0 AND e >= 0"), "s", "e", "text")
+    return own.select("episode_id", "track", "seq", F.regexp_replace("block", "\n\\z", "").alias("block"))
 
 
-@query(f"WITH {CUES} SELECT episode_id, track, seq, s, e, coalesce(text, '') AS text FROM timed WHERE s >= 0 AND e >= 0")
+@query(f"WITH {CUES} SELECT episode_id, track, seq, s, e, regexp_replace(replace(coalesce(text, ''), chr(65279), ''), '\\s+$', '') AS text FROM timed WHERE s >= 0 AND e >= 0 AND NOT regexp_matches(coalesce(text, ''), '\\n[ \\t]*\\n')")
 def vtt_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    """The blocks read back: times and text as they were written."""
-    head = F.substring_index("block", "\n", 1)
-    return vtt_blocks(spark, folder).select(
-        "episode_id", "track", "seq", timecode.parse(F.substring_index(head, " --> ", 1)).alias("s"), timecode.parse(F.substring_index(head, " --> ", -1)).alias("e"), F.expr("substring(block, locate('\n', block) + 1)").alias("text")
-    )
+    """Cues written as blocks and read back: times and text as they were. A text with an empty line inside can't be written so and is left out."""
+    own = cues(spark, folder).filter("s >= 0 AND e >= 0").filter(~F.coalesce("text", F.lit("")).rlike("\\n[ \\t]*\\n"))
+    blocks = cue_blocks(own.withColumn("key", F.struct("episode_id", "track", "seq")), "s", "e", "text")
+    return parse_cues(blocks.select("key", "block"), "key", "block").select("key.*", F.col("start_ms").alias("s"), F.col("end_ms").alias("e"), "text")
 
 
 @query(
-    f"""WITH {CUES}, t AS (SELECT episode_id, seq, s, text FROM timed WHERE track = 'ja_asr')
-SELECT episode_id, seq, lag(text, 1) OVER w AS one_before, lag(text, 2) OVER w AS two_before FROM t WINDOW w AS (PARTITION BY episode_id ORDER BY s, seq)"""
+    f"""WITH {CUES}, t AS (SELECT episode_id, track, seq, s, text FROM timed)
+SELECT episode_id, track, seq, lag(text, 1) OVER w AS one_before, lag(text, 2) OVER w AS two_before FROM t WINDOW w AS (PARTITION BY episode_id, track ORDER BY s, seq)"""
 )
 def rolling_context(spark: SparkSession, folder: str) -> DataFrame:
     """Each cue with the texts of the two before it."""
-    w = Window.partitionBy("episode_id").orderBy("s", "seq")
-    return cues(spark, folder).filter("track = 'ja_asr'").select("episode_id", "seq", F.lag("text", 1).over(w).alias("one_before"), F.lag("text", 2).over(w).alias("two_before"))
+    keys = ["episode_id", "track"]
+    rows = cues(spark, folder).withColumn("block", F.floor(F.col("s") / 600_000)).withColumn("own", F.struct("text"))
+    rows = previous(rows, keys, "block", ["s", "seq"], "own", "one").withColumn("both", F.struct(F.col("one.text").alias("text")))
+    rows = previous(rows, keys, "block", ["s", "seq"], "both", "two")
+    return rows.select(*keys, "seq", F.col("one.text").alias("one_before"), F.col("two.text").alias("two_before"))
 
 
 @query(f"WITH {SEGMENTS}, x AS (SELECT g.episode_id, g.name, t.name AS term FROM seg g JOIN (SELECT DISTINCT episode_id, source AS name FROM glossary_entries WHERE length(source) > 1) t ON t.episode_id = g.episode_id AND contains(g.text, t.name)) SELECT episode_id, name, list_sort(list(term)) AS terms FROM x GROUP BY 1, 2")
 def terms_said(spark: SparkSession, folder: str) -> DataFrame:
     """Substring recall: the glossary terms of the episode that a segment's text holds."""
     terms = table(spark, folder, "glossary_entries").filter("length(source) > 1").select("episode_id", F.col("source").alias("term")).distinct()
-    said = segments(spark, folder).select("episode_id", "name", "text").join(terms, "episode_id").filter(F.contains("text", "term"))
+    said = contained_terms(segments(spark, folder).select("episode_id", "name", "text"), terms, ["episode_id"], "text", "term")
     return said.groupBy("episode_id", "name").agg(F.array_sort(F.collect_set("term")).alias("terms"))
 
 

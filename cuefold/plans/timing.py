@@ -141,26 +141,32 @@ def few_repeats(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _DROPS = "[\\s　、。！？?!…,.，「」『』（）()【】\\[\\]・:：\\-ー]+"
-_WINDOWS = f"""{CUES},
-pri AS (SELECT episode_id, s, e, seq, trim(text, ' ') AS text FROM timed WHERE track = 'ja_asr' AND seq % 3 <> 0 AND text IS NOT NULL),
-sec AS (SELECT episode_id, s, e, seq, trim(text, ' ') AS text FROM timed WHERE track = 'ja_asr' AND seq % 5 <> 0 AND text IS NOT NULL),
-ends AS (SELECT episode_id, max(e) AS last FROM (SELECT episode_id, e FROM pri UNION ALL SELECT episode_id, e FROM sec) GROUP BY 1),
-k AS (SELECT episode_id, last, unnest(range(0, greatest(last, 0), 5000)) AS start_ms FROM ends),
-w AS (SELECT episode_id, start_ms, least(last, start_ms + 10000) AS end_ms FROM k),
-a AS (SELECT w.episode_id, start_ms, end_ms, string_agg(text, ' / ' ORDER BY seq) AS t FROM w JOIN pri p ON p.episode_id = w.episode_id AND p.s < end_ms AND p.e > start_ms WHERE length(text) > 0 GROUP BY 1, 2, 3),
-b AS (SELECT w.episode_id, start_ms, end_ms, string_agg(text, ' / ' ORDER BY seq) AS t FROM w JOIN sec p ON p.episode_id = w.episode_id AND p.s < end_ms AND p.e > start_ms WHERE length(text) > 0 GROUP BY 1, 2, 3),
-x AS (SELECT w.episode_id, w.start_ms, w.end_ms, coalesce(a.t, '') AS primary_text, coalesce(b.t, '') AS secondary_text,
+_WINDOWS = f"""{CUES}, {SEGMENTS},
+sec AS (SELECT episode_id, track, s, e, lpad(CAST(seq AS VARCHAR), 12, '0') AS seq, trim(text, ' ') AS text FROM timed WHERE text IS NOT NULL),
+pri AS (SELECT episode_id, track, s, e, lpad(CAST(s AS VARCHAR), 12, '0') || name AS seq, trim(text, ' ') AS text FROM seg JOIN (SELECT DISTINCT episode_id, track FROM sec) USING (episode_id) WHERE text IS NOT NULL AND s IS NOT NULL AND e IS NOT NULL),
+ends AS (SELECT episode_id, track, max(e) AS last FROM (SELECT episode_id, track, e FROM pri UNION ALL SELECT episode_id, track, e FROM sec) GROUP BY 1, 2),
+k AS (SELECT episode_id, track, last, unnest(range(0, greatest(last, 0), 5000)) AS start_ms FROM ends),
+w AS (SELECT episode_id, track, start_ms, least(last, start_ms + 10000) AS end_ms FROM k),
+a AS (SELECT w.episode_id, w.track, start_ms, end_ms, string_agg(text, ' / ' ORDER BY seq) AS t FROM w JOIN pri p ON p.episode_id = w.episode_id AND p.track = w.track AND p.s < end_ms AND p.e > start_ms WHERE length(text) > 0 GROUP BY 1, 2, 3, 4),
+b AS (SELECT w.episode_id, w.track, start_ms, end_ms, string_agg(text, ' / ' ORDER BY seq) AS t FROM w JOIN sec p ON p.episode_id = w.episode_id AND p.track = w.track AND p.s < end_ms AND p.e > start_ms WHERE length(text) > 0 GROUP BY 1, 2, 3, 4),
+x AS (SELECT w.episode_id, w.track, w.start_ms, w.end_ms, coalesce(a.t, '') AS primary_text, coalesce(b.t, '') AS secondary_text,
   length(regexp_replace(coalesce(a.t, ''), '{_DROPS}', '', 'g')) AS primary_chars, length(regexp_replace(coalesce(b.t, ''), '{_DROPS}', '', 'g')) AS secondary_chars
-  FROM w LEFT JOIN a USING (episode_id, start_ms, end_ms) LEFT JOIN b USING (episode_id, start_ms, end_ms)),
+  FROM w LEFT JOIN a USING (episode_id, track, start_ms, end_ms) LEFT JOIN b USING (episode_id, track, start_ms, end_ms)),
 fl AS (SELECT * FROM x WHERE secondary_chars >= 12 AND (primary_chars <= 4 OR secondary_chars >= greatest(primary_chars * 2, primary_chars + 12)))"""
 
 
+def two_transcripts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The segments of an episode, for each of its tracks, and the cues of those tracks: ``episode_id, track, s, e, seq, text``."""
+    cue = cues(spark, folder).filter("text IS NOT NULL").select("episode_id", "track", "s", "e", F.lpad(F.col("seq").cast("string"), 12, "0").alias("seq"), "text")
+    seg = segments(spark, folder).filter("text IS NOT NULL AND s IS NOT NULL AND e IS NOT NULL").select("episode_id", "s", "e", F.concat(F.lpad(F.col("s").cast("string"), 12, "0"), "name").alias("seq"), "text")
+    return seg.join(cue.select("episode_id", "track").distinct(), "episode_id"), cue
+
+
 def _windows(spark: SparkSession, folder: str) -> DataFrame:
-    track = cues(spark, folder).filter("track = 'ja_asr' AND text IS NOT NULL").select("episode_id", "s", "e", "seq", "text")
-    return windows.flagged(windows.sliding_windows(track.filter("seq % 3 <> 0"), track.filter("seq % 5 <> 0"), ["episode_id"], 10_000, 5_000))
+    return windows.flagged(windows.sliding_windows(*two_transcripts(spark, folder), ["episode_id", "track"], 10_000, 5_000))
 
 
-@query(f"WITH {_WINDOWS} SELECT episode_id, start_ms, end_ms, primary_text, secondary_text, CAST(primary_chars AS INT) AS primary_chars, CAST(secondary_chars AS INT) AS secondary_chars FROM fl")
+@query(f"WITH {_WINDOWS} SELECT episode_id, track, start_ms, end_ms, primary_text, secondary_text, CAST(primary_chars AS INT) AS primary_chars, CAST(secondary_chars AS INT) AS secondary_chars FROM fl")
 def flagged_windows(spark: SparkSession, folder: str) -> DataFrame:
     """Windows of 10 s, every 5 s, in which one transcript has much more than the other."""
     return _windows(spark, folder)
@@ -168,18 +174,18 @@ def flagged_windows(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     f"""WITH {_WINDOWS},
-m AS (SELECT *, max(end_ms) OVER (PARTITION BY episode_id ORDER BY start_ms ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM fl),
-g AS (SELECT *, sum(CASE WHEN reach IS NULL OR start_ms > reach + 750 THEN 1 ELSE 0 END) OVER (PARTITION BY episode_id ORDER BY start_ms ROWS UNBOUNDED PRECEDING) AS region FROM m),
-r AS (SELECT episode_id, CAST(region AS BIGINT) AS region, min(start_ms) AS start_ms, max(end_ms) AS end_ms, arg_min(secondary_text, start_ms) AS secondary_text,
-  CAST(max(primary_chars) AS INT) AS primary_chars, CAST(max(secondary_chars) AS INT) AS secondary_chars, count(*) AS windows FROM g GROUP BY 1, 2)
-SELECT episode_id, region, start_ms, end_ms, secondary_text, primary_chars, secondary_chars, windows, rank FROM (
-  SELECT *, row_number() OVER (ORDER BY secondary_chars - primary_chars DESC, start_ms, episode_id) AS rank FROM r) WHERE rank <= 20"""
+m AS (SELECT *, max(end_ms) OVER (PARTITION BY episode_id, track ORDER BY start_ms ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM fl),
+g AS (SELECT *, sum(CASE WHEN reach IS NULL OR start_ms > reach + 750 THEN 1 ELSE 0 END) OVER (PARTITION BY episode_id, track ORDER BY start_ms ROWS UNBOUNDED PRECEDING) AS region FROM m),
+r AS (SELECT episode_id, track, CAST(region AS BIGINT) AS region, min(start_ms) AS start_ms, max(end_ms) AS end_ms, arg_min(secondary_text, start_ms) AS secondary_text,
+  CAST(max(primary_chars) AS INT) AS primary_chars, CAST(max(secondary_chars) AS INT) AS secondary_chars, count(*) AS windows FROM g GROUP BY 1, 2, 3)
+SELECT episode_id, track, region, start_ms, end_ms, secondary_text, primary_chars, secondary_chars, windows, rank FROM (
+  SELECT *, row_number() OVER (ORDER BY secondary_chars - primary_chars DESC, start_ms, episode_id, track) AS rank FROM r) WHERE rank <= 20"""
 )
 def coverage_gap_regions(spark: SparkSession, folder: str) -> DataFrame:
     """The 20 regions that one transcript most lacks against the other: windows, flags, merges and rank in one plan."""
     from pyspark.sql import Window
 
-    regions = windows.merge_windows(_windows(spark, folder), ["episode_id"], 750)
-    order = [(F.col("secondary_chars") - F.col("primary_chars")).desc(), "start_ms", "episode_id"]
+    regions = windows.merge_windows(_windows(spark, folder), ["episode_id", "track"], 750)
+    order = [(F.col("secondary_chars") - F.col("primary_chars")).desc(), "start_ms", "episode_id", "track"]
     top = regions.orderBy(*order).limit(20)  # the report's length; the window below sees these rows only
-    return top.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("long")).select("episode_id", "region", "start_ms", "end_ms", "secondary_text", "primary_chars", "secondary_chars", "windows", "rank")
+    return top.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("long")).select("episode_id", "track", "region", "start_ms", "end_ms", "secondary_text", "primary_chars", "secondary_chars", "windows", "rank")

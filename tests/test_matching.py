@@ -36,14 +36,6 @@ def test_lines_by_kind():
     assert (1, 0, "equal") in out and (2, 2, "similar") in out and (3, None, "dropped") in out and (0, 1, "moved") in out
 
 
-def test_anchors_rise():
-    a = ["good morning", "how are you", "", "see the old clock", "bye now"]
-    b = ["good morning!", "well", "how are you?", "see an old clock", "bye now"]
-    got = M.anchors(a, b)
-    assert [(i, j) for i, j, _ in got] == [(0, 0), (1, 2), (3, 3), (4, 4)]
-    assert M.anchors([], b) == []
-
-
 def test_rising():
     assert M.rising([(0, 5), (3, 4), (2, 9)]) == [(0, 5), (5, 6), (6, 9)]
 
@@ -70,7 +62,14 @@ def test_two_pass_clusters():
 
 
 def test_merge_short():
-    cues = [(0, 500, "a"), (600, 3000, "b"), (3000, 3400, "c"), (9000, 9500, "d")]
-    assert M.merge_short(cues) == [(0, 3400, "a\nb\nc"), (9000, 9500, "d")]
-    assert all(e - s <= 7000 for s, e, _ in M.merge_short(cues))
+    cues = [(0, 500, "aaaa"), (600, 3000, "bbbb"), (3000, 3400, "cccc"), (9000, 9500, "dddd")]
+    assert M.merge_short(cues) == [(0, 3000, "aaaa\nbbbb"), (3000, 9500, "cccc\ndddd")]
+    assert M.merge_short([(0, 1500, "aaaa"), (1500, 1800, "no"), (1800, 3200, "bbbb")]) == [(0, 1500, "aaaa"), (1500, 3200, "no\nbbbb")]
+    turn = [(0, 500, "aaaa", False), (600, 3000, "bbbb", True)]
+    assert M.merge_short(turn) == turn
     assert M.merge_short([]) == []
+
+
+def test_frame_spans_reach_over_two_frames():
+    seen = lambda *n: [(s["first"], s["last"]) for s in M.frame_spans([(k, ["a"]) for k in n])]
+    assert seen(1, 4) == [(1, 4)] and seen(1, 5) == [(1, 1), (5, 5)]
