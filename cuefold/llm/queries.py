@@ -96,10 +96,50 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return p9_scores(spark, folder).filter("score > 0.5").select("doc_id")
 
 
+def p1_bounds(spark: SparkSession, folder: str) -> DataFrame:
+    """What must hold of all sentence ends: within the text, on no space, and no text without letters has one."""
+    texts = table(spark, folder, "cues").select(F.lit("cues").alias("src"), F.col("cue_id").alias("row_id"), "text").unionByName(table(spark, folder, "segments").select(F.lit("segments").alias("src"), F.col("seg_id").alias("row_id"), "text"))
+    ends = p1_found(spark, folder).groupBy("src", "row_id", "end_pos").agg(F.count(F.lit(1)).alias("n"))
+    x = texts.join(ends, ["src", "row_id"], "left")
+    count = lambda c: F.count(F.when(c, 1))
+    blank = F.substr("text", F.col("end_pos"), F.lit(1)).rlike("\\s")
+    return x.groupBy("src").agg(F.countDistinct("row_id").alias("texts"), count((F.col("end_pos") < 1) | (F.col("end_pos") > F.length("text"))).alias("outside"), count(blank).alias("on_space"), count(F.col("n") > 1).alias("twice"), count(F.col("end_pos").isNotNull() & ~F.col("text").rlike("[\\p{L}\\p{N}]")).alias("of_nothing"))
+
+
+def p3_cover(spark: SparkSession, folder: str) -> DataFrame:
+    """What must hold of all pieces: each text is covered once, no piece is over 120, no overlap over 20."""
+    p = p3_pieces(spark, folder)
+    within = (F.max(F.col("to_pos") - F.col("from_pos")) <= 120) & (F.max(F.col("own_pos") - F.col("from_pos")) <= 20) & (F.max(F.length("text") - F.col("to_pos") + F.col("from_pos")) == 0) & (F.count(F.lit(1)) == F.max("n_pieces")) & (F.min("own_pos") == 0)
+    return p.groupBy("cue_id").agg(F.sum(F.col("to_pos") - F.col("own_pos")).alias("covered"), within.alias("within"))
+
+
+def p7_cover(spark: SparkSession, folder: str) -> DataFrame:
+    """What must hold of all containers: each document is in them once and whole, and none holds over 2,048 tokens."""
+    items = p7_containers(spark, folder)
+    fill = items.groupBy("container_id").agg(F.sum("n_tokens").alias("fill"))
+    own = items.join(fill, "container_id")
+    whole = (F.min("from_token") == 0) & (F.sum("n_tokens") == F.max("to_token")) & (F.count(F.lit(1)) == F.max("n_parts")) & (F.countDistinct("part_no") == F.max("n_parts"))
+    return own.groupBy("doc_id").agg(whole.alias("whole"), (F.max("fill") <= 2048).alias("within"), ((F.max("n_parts") == 1) | (F.max("to_token") > 2048)).alias("divided_only_if_larger"))
+
+
+def p8_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """What must hold of the mix: no document is used more often than allowed, none partly but one a source, and shares are met."""
+    drawn, report = mixing.mix(table(spark, folder, "documents"), table(spark, folder, "source_targets"), "doc_id", "source", "text")
+    uses = drawn.groupBy("source", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("used_tokens") < F.col("n_tokens"), 1)).alias("cut"))
+    per = uses.groupBy("source").agg(F.max("n").alias("n"), F.sum("cut").alias("cut"))
+    x = report.join(per, "source", "left")
+    return x.select("source", (F.coalesce("n", F.lit(0)) <= F.col("max_repeats")).alias("repeats_kept"), (F.coalesce("cut", F.lit(0)) <= 1).alias("one_cut"), (F.abs(F.col("actual_share") - F.col("target_share")) < 0.001).alias("share_met"))
+
+
 _P3 = r"""
 SELECT cue_id, CASE WHEN regexp_matches(text, '[^\s\p{Z}\p{P}\p{S}]{121}') THEN 'forced' ELSE 'natural' END AS kind
 FROM cues WHERE length(text) > 120
 """
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_classes": p2_classes, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found, "p4_lines": p4_lines, "p6_found": p6_found, "p7_containers": p7_containers, "p7_fill": p7_fill, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_scores": p9_scores}
-ORACLE = {"p3_found": _P3}
+_P1 = "SELECT 'cues' AS src, count(DISTINCT cue_id) AS texts, CAST(0 AS BIGINT) AS outside, CAST(0 AS BIGINT) AS on_space, CAST(0 AS BIGINT) AS twice, CAST(0 AS BIGINT) AS of_nothing FROM cues UNION ALL SELECT 'segments', count(DISTINCT seg_id), 0, 0, 0, 0 FROM segments"
+_P3_COVER = "SELECT cue_id, CAST(length(text) AS BIGINT) AS covered, true AS within FROM cues WHERE length(text) > 120"
+_P7 = "SELECT doc_id, true AS whole, true AS within, true AS divided_only_if_larger FROM documents WHERE length(text) > 0"
+_P8 = "SELECT source, true AS repeats_kept, true AS one_cut, true AS share_met FROM source_targets"
+
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_classes": p2_classes, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found, "p4_lines": p4_lines, "p6_found": p6_found, "p7_containers": p7_containers, "p7_fill": p7_fill, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_scores": p9_scores, "p1_bounds": p1_bounds, "p3_cover": p3_cover, "p7_cover": p7_cover, "p8_rules": p8_rules}
+ORACLE = {"p3_found": _P3, "p1_bounds": _P1, "p3_cover": _P3_COVER, "p7_cover": _P7, "p8_rules": _P8}
