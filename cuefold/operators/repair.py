@@ -40,7 +40,7 @@ def match_words(cues: Sequence[tuple[int, int, str]], words: Sequence[Word], nea
             word_at[at] = i
             at += len(f)
             ends[at] = i
-    begins = sorted(word_at)
+    begins, firsts = list(word_at), list(word_at.values())  # both rise
     starts_ms = [w[0] for w in words]
     out: list[tuple[int, int, str] | None] = []
     pos = 0
@@ -48,19 +48,15 @@ def match_words(cues: Sequence[tuple[int, int, str]], words: Sequence[Word], nea
     def spots(target: str, low: int, high: int) -> list[tuple[int, int]]:
         """Spans of whole words that say ``target`` and begin with a word from ``low`` to ``high``."""
         found = []
-        k = bisect_left(begins, next((o for o in begins if word_at[o] >= low), len(whole)))
-        if k == len(begins):
+        k, z = bisect_left(firsts, low), bisect_left(firsts, high + 1)
+        if k >= z:
             return []
-        o = whole.find(target, begins[k])
+        stop = begins[z - 1] + len(target)
+        o = whole.find(target, begins[k], stop)
         while o >= 0:
-            first, last = word_at.get(o), ends.get(o + len(target))
-            if first is not None and first > high:
-                break
-            if first is not None and last is not None and first >= low:
-                found.append((first, last))
-            o = whole.find(target, o + 1)
-            if o > (begins[-1] if begins else 0):
-                break
+            if o in word_at and o + len(target) in ends:
+                found.append((word_at[o], ends[o + len(target)]))
+            o = whole.find(target, o + 1, stop)
         return found
 
     for s, e, text in cues:
