@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -66,18 +67,59 @@ def keep_longest(df: DataFrame, keys: Sequence[str], term: str, grams: int = 2)
     return one.join(held, [*keys, "_t"], "left_anti").withColumnRenamed("_t", term)
 
 
+#: Parts that a key's texts are dealt to, so that a hot key isn't one task. Its terms stand in every part.
+PARTS = 4
+
+
 def contained_terms(texts: DataFrame, terms: DataFrame, keys: Sequence[str], text: str, term: str) -> DataFrame:
     """Pairs of ``texts`` rows and the ``terms`` (distinct, of two characters or more) of the same keys that their text holds.
 
     A term meets only texts that hold its rarest pair of letters, by the terms of the key, so no key compares all with
-    all. Null and empty texts and shorter terms match nothing.
+    all. Null and empty texts and shorter terms match nothing. Texts and terms are shuffled once, as they are: a task
+    holds the terms of one key while its texts pass by, and no list of pairs of letters is joined or broadcast.
     """
-    pairs = lambda t: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(t) - 1), lambda i: F.substr(t, i, F.lit(2))))
-    own = terms.select(*keys, term).filter(F.length(term) > 1).distinct().withColumn("_g", F.explode(pairs(F.col(term))))
-    often = own.groupBy(*keys, "_g").agg(F.count(F.lit(1)).alias("_n"))
-    rare = own.join(often, [*keys, "_g"]).groupBy(*keys, term).agg(F.min_by("_g", F.struct("_n", "_g")).alias("_g"))
-    spread = texts.filter(F.length(text) > 1).withColumn("_g", F.explode(pairs(F.col(text))))
-    return spread.join(rare, [*keys, "_g"]).filter(F.contains(text, term)).drop("_g")
+    known = lambda df: df.dropna(subset=list(keys))
+    own = known(terms.select(*keys, term)).filter(F.length(term) > 1).distinct()
+    rows = known(texts).filter(F.length(text) > 1).withColumn("_side", F.lit(1)).withColumn("_part", F.pmod(F.xxhash64(text), F.lit(PARTS)).cast("int"))
+    every = own.withColumn("_side", F.lit(0)).withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    both = rows.unionByName(every, allowMissingColumns=True).repartition(*keys, "_part").sortWithinPartitions(*keys, "_part", "_side")
+    columns, on = texts.columns, [*keys, "_part"]
+
+    def run(batches):
+        import pyarrow as pa
+
+        at, words, rare = None, [], None
+        for batch in batches:
+            took, found = [], []
+            lists = [batch.column(c).to_pylist() for c in (*on, "_side", text, term)]
+            for i, (*key, side, x, w) in enumerate(zip(*lists)):
+                if key != at:
+                    at, words, rare = key, [], None
+                if not side:
+                    words.append(w)
+                elif words:
+                    rare = rare or _by_rarest_pair(words)
+                    for g in rare.keys() & {x[j : j + 2] for j in range(len(x) - 1)}:
+                        held = [w for w in rare[g] if w in x]
+                        took += [i] * len(held)
+                        found += held
+                    if len(found) > 20_000:
+                        yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(took)) for c in columns), pa.array(found)], [*columns, term])
+                        took, found = [], []
+            if found:
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(took)) for c in columns), pa.array(found)], [*columns, term])
+
+    return both.mapInArrow(run, texts.withColumn(term, F.lit("")).schema)
+
+
+def _by_rarest_pair(words: Sequence[str]) -> dict[str, list[str]]:
+    """Words under the pair of letters in them that the fewest of the words hold, the first of equals."""
+    pairs = [{w[i : i + 2] for i in range(len(w) - 1)} for w in words]
+    often = Counter(g for own in pairs for g in own)
+    rare: dict[str, list[str]] = {}
+    for w, own in zip(words, pairs):
+        rare.setdefault(min(own, key=lambda g: (often[g], g)), []).append(w)
+    return rare
 
 
 def span_score(count: Column, term: Column, safe: bool) -> Column:

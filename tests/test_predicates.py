@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,6 +59,18 @@ def test_terms_in_texts(spark):
     assert [tuple(r) for r in contained_terms(texts, terms, ["k"], "t", "w").select("i", "w").collect()] == [(1, "ナイト")]
 
 
+def test_terms_in_texts_join_no_lists_of_letters(spark):
+    rng = random.Random(5)
+    word = lambda a, z: "".join(rng.choice("あいaé😀 ") for _ in range(rng.randint(a, z)))
+    rows = [(rng.choice(["e", "f", None]), i, word(0, 12)) for i in range(300)]
+    own = [(k, word(1, 4)) for k in ("e", "f", "g", None) for _ in range(40)]
+    texts, terms = spark.createDataFrame(rows, "k string, i int, t string"), spark.createDataFrame(own, "k string, w string")
+    got = contained_terms(texts, terms, ["k"], "t", "w")
+    assert sorted(map(tuple, got.collect())) == sorted({(k, i, t, w) for k, i, t in rows for j, w in own if k and k == j and len(w) > 1 and w in t})
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Broadcast" not in plan
+
+
 def test_merges_and_guards(spark):
     a = spark.createDataFrame([("x", 1, 0, 5), ("x", 2, 5, 9), ("x", 3, 9, 12)], "k string, i int, s long, e long")
     b = spark.createDataFrame([("x", 1, 0, 5), ("x", 2, 6, 9), ("x", 4, 9, 12)], "k string, i int, s long, e long")
