@@ -217,8 +217,9 @@ SELECT episode_id, seg, canonical, first_ms, CAST(row_number() OVER (PARTITION B
 def names_in_clip(spark: SparkSession, folder: str) -> DataFrame:
     """The entities whose name or variant a cue says within a segment's clip, in the order of their first mention."""
     lines = cues(spark, folder).filter("text <> ''").select("episode_id", F.col("s").alias("cs"), F.col("e").alias("ce"), "text")
-    said = contained_terms(lines, _spellings(spark, folder), ["episode_id"], "text", "spelling").join(_spellings(spark, folder), ["episode_id", "spelling"])
-    said = said.select("episode_id", "cs", "ce", "canonical").distinct()
+    said = contained_terms(lines, _spellings(spark, folder), ["episode_id"], "text", "spelling").select("episode_id", "cs", "ce", "spelling")
+    # spellings and slots of time are many more than the rows they come from, by which Spark would think them small enough to broadcast
+    said = said.join(_spellings(spark, folder).hint("merge"), ["episode_id", "spelling"]).select("episode_id", "cs", "ce", "canonical").distinct().hint("merge")
     clips = segments(spark, folder).select("episode_id", F.col("name").alias("seg"), "ws", "we")
     w = overlap_join(clips, said, ["episode_id"], ("ws", "we"), ("cs", "ce")).groupBy("episode_id", "seg", "canonical").agg(F.min("cs").alias("first_ms"))
     return w.withColumn("rank", F.row_number().over(Window.partitionBy("episode_id", "seg").orderBy("first_ms", "canonical")))

@@ -8,6 +8,7 @@ from cuefold.operators import lineage as L
 from cuefold.operators import review as V
 from cuefold.operators.quality import inspect_chunks
 from cuefold.operators.terms import contained_terms
+from cuefold.plans.screen import names_in_clip
 
 TEXTS = ["提供", "田中さん", "ちゃんと", "それは何", "はい。", "AM 10:30", "ヤマカワか", "長い文章、とても長い文章です", "答え", "©2024", "ナイトレース", None, ""]
 
@@ -71,6 +72,16 @@ def test_terms_in_texts_join_no_lists_of_letters(spark):
     assert "Join" not in plan and "Broadcast" not in plan
 
 
+def test_names_in_clip_broadcast_nothing(spark, tmp_path):
+    at = "timestamp '2024-01-01' AS loaded_at"
+    spark.sql(f"SELECT id AS cue_id, 'e' AS episode_id, 'sdh' AS track, CAST(id AS int) AS seq, CAST(id AS double) AS start_s, id + 1.0D AS end_s, array('さとうです', 'Sato', '夜')[id % 3] AS text, {at} FROM range(6)").write.parquet(f"{tmp_path}/cues.parquet")
+    spark.sql(f"SELECT 1L AS seg_id, 'e' AS episode_id, 'a' AS name, 0D AS seg_start, 2D AS seg_end, 1D AS window_start, 2D AS window_dur, '' AS text, {at}").write.parquet(f"{tmp_path}/segments.parquet")
+    spark.sql("SELECT 'e' AS episode_id, n AS name, v AS variants FROM VALUES ('佐藤', array('さとう', 'Sato')), ('夜', array('夜')), ('Sato', null) AS t(n, v)").write.parquet(f"{tmp_path}/entities.parquet")
+    got = names_in_clip(spark, str(tmp_path))
+    assert sorted(map(tuple, got.select("seg", "canonical", "first_ms", "rank").collect())) == [("a", "Sato", 1000, 1), ("a", "佐藤", 1000, 2)]
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_merges_and_guards(spark):
     a = spark.createDataFrame([("x", 1, 0, 5), ("x", 2, 5, 9), ("x", 3, 9, 12)], "k string, i int, s long, e long")
     b = spark.createDataFrame([("x", 1, 0, 5), ("x", 2, 6, 9), ("x", 4, 9, 12)], "k string, i int, s long, e long")
