@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 
 from .matching import merge_short, rising
-from .segment import reflow
+from .segment import reflow, reflow_rows
 
 Cue = tuple[int, int, str]
 # Questions and set-ups are told by their end or by these words.
@@ -143,18 +144,93 @@ def reflow_words(pause: int = 300, most_ms: int = 10_000, least_ms: int = 300, c
     With columns ``first`` and ``last``, the whole track's bounds, the rows may be a part of it that stands 20 s from the
     next: its outer cues grow as if the neighbours were there.
     """
-    from .repair import merge_hurried
-
     def run(p: pd.DataFrame) -> pd.DataFrame:
         grouped = reflow(pause, most_ms, least_ms)(p)
         cues = list(zip(grouped["start_ms"].tolist(), grouped["end_ms"].tolist(), grouped["text"]))
         points = p[p["e"] <= p["s"]]
         cues = attach_points(cues, list(zip(points["s"].tolist(), points["word"].fillna(""))))
         edges = (most_ms * int(p["s"].min() > p["first"].iloc[0]), most_ms * int(p["e"].max() < p["last"].iloc[0])) if "first" in p and len(p) else (0, 0)
-        before = None
-        while cues != before:  # growing makes cues slower, merging makes them fewer
-            before = cues
-            cues = merge_hurried(grow_short(cues, least_ms, most_ms, cps, edges), pause, least_ms, most_ms, most_cps)
+        cues = _unhurried(cues, pause, most_ms, least_ms, cps, most_cps, edges)
         return pd.DataFrame([(i, s, e, t) for i, (s, e, t) in enumerate(cues, 1)], columns=["cue", "start_ms", "end_ms", "text"])
 
     return run
+
+
+def _unhurried(cues: list[Cue], pause: int, most_ms: int, least_ms: int, cps: int, most_cps: int, edges: tuple[int, int]) -> list[Cue]:
+    from .repair import merge_hurried
+
+    before = None
+    while cues != before:  # growing makes cues slower, merging makes them fewer
+        before = cues
+        cues = merge_hurried(grow_short(cues, least_ms, most_ms, cps, edges), pause, least_ms, most_ms, most_cps)
+    return cues
+
+
+_SPACE = re.compile("[ \t\n\x0b\f\r]+")
+
+
+def split_words(text: str) -> list[str]:
+    """The words of a text, each with a space after it, or its characters where no spaces part them."""
+    parts = _SPACE.sub(" ", text).split(" ")
+    return list("".join(parts)) if len(parts) * 12 < len(text) else [w + " " for w in parts if w]
+
+
+def timed_words(cues: Sequence[tuple[int, int, int, str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and words of cues ``(seq, s, e, text)``, timed evenly, in order of start, ``seq`` and place; those with duration."""
+    known: dict[str, str] = {}  # a word is kept once
+    words, counts = [], []
+    for *_, text in cues:
+        own = split_words(text)
+        counts.append(len(own))
+        words += map(known.setdefault, own, own)
+    n = np.array(counts, np.int64)
+    seq, s, e = (np.repeat(np.array([c[k] for c in cues], np.int64), n) for k in range(3))
+    i = np.arange(len(words)) - np.repeat(np.cumsum(n) - n, n)
+    n = np.repeat(n, n)
+    a, z = s + (e - s) * i // n, s + (e - s) * (i + 1) // n
+    order = np.lexsort((i, seq, a))
+    order = order[z[order] > a[order]]
+    return a[order], z[order], np.array(words, object)[order]
+
+
+def reflow_tracks(rows: Iterable[tuple], pause: int = 300, most_ms: int = 10_000, least_ms: int = 300, cps: int = 14, most_cps: int = 20, apart_ms: int = 20_000, block_ms: int = 600_000) -> Iterator[tuple]:
+    """The words of cues as finished cues: ``key, block, cues`` from ``key, seq, s, e, text`` in order of key, start and ``seq``.
+
+    What :func:`reflow_words` makes of a track's words in blocks, those of whole sessions that begin within ``block_ms``; a
+    session ends before words over ``apart_ms`` later, so what is held is the cues up to the next such pause and the words of a block.
+    """
+    at, first, top, held, block, parts = None, None, None, [], None, []
+
+    def finish(last):
+        a, z, w = (np.concatenate(x) for x in zip(*parts))
+        edges = (most_ms * int(a[0] > first), most_ms * int(last is None or z.max() < last))
+        cues = [c[1:4] for c in reflow_rows(a, z, w, pause, most_ms, least_ms)]
+        return at, block, _unhurried(cues, pause, most_ms, least_ms, cps, most_cps, edges)
+
+    def work(more):
+        # all that is held ends over ``apart_ms`` before the next cue of the track
+        nonlocal first, block, parts
+        a, z, w = timed_words(held)
+        last = None if more else z.max()
+        first = a[0] if first is None else first
+        new = np.flatnonzero(np.append(True, a[1:] - z[:-1] > apart_ms))
+        for i, j in zip(new.tolist(), [*new[1:].tolist(), len(a)]):
+            b = int(a[i]) // block_ms
+            if parts and b != block:
+                yield finish(last)
+                parts = []
+            block = b
+            parts.append((a[i:j], z[i:j], w[i:j]))
+        if not more:
+            yield finish(last)
+
+    for key, seq, s, e, text in rows:
+        if held and (key != at or s - top > apart_ms):
+            yield from work(key == at)
+            held = []
+        if key != at or top is None:
+            at, first, top, parts = key, None, e, []
+        held.append((seq, s, e, text))
+        top = max(top, e)
+    if held:
+        yield from work(False)

@@ -114,6 +114,39 @@ def cover(total: int, target: int = 60_000, most: int = 90_000, gap: int = 2_000
     return run
 
 
+def reflow_rows(s: np.ndarray, e: np.ndarray, words: Sequence[str], pause: int = 300, most: int = 10_000, least: int = 300) -> list[tuple[int, int, int, str, int]]:
+    """Cues of words with duration, as :func:`reflow` says: ``cue, start_ms, end_ms, text, words``."""
+    breaks = [0, *(np.flatnonzero(s[1:] - e[:-1] >= pause) + 1).tolist(), len(s)]
+    groups = [[a, b] for a, b in zip(breaks, breaks[1:]) if b > a]
+    merged: list[list[int]] = []
+    carry: int | None = None
+    for i, (a, b) in enumerate(groups):
+        a = carry if carry is not None else a
+        carry = None
+        if e[b - 1] - s[a] < least and i + 1 < len(groups) and s[b] - e[b - 1] < 2 * pause:
+            carry = a
+        else:
+            merged.append([a, b])
+    out = []
+    todo = merged[::-1]
+    while todo:
+        a, b = todo.pop()
+        if e[b - 1] - s[a] <= most or b - a == 1:
+            text = "".join(words[a:b]).strip()
+            if text:
+                out.append((len(out) + 1, int(s[a]), int(e[b - 1]), text, b - a))
+            continue
+        inner = s[a + 1 : b] - e[a : b - 1]
+        k = int(inner.argmax())
+        if inner[k] >= 10:
+            cut = a + 1 + k
+        else:
+            over = np.flatnonzero(e[a:b] - s[a] > most)
+            cut = a + max(1, int(over[0]))
+        todo += [[cut, b], [a, cut]]
+    return out
+
+
 def reflow(pause: int = 300, most: int = 10_000, least: int = 300) -> Callable[[pd.DataFrame], pd.DataFrame]:
     """Words (``s, e, word``) as cues at natural pauses.
 
@@ -124,36 +157,7 @@ def reflow(pause: int = 300, most: int = 10_000, least: int = 300) -> Callable[[
 
     def run(p: pd.DataFrame) -> pd.DataFrame:
         p = p[p["e"] > p["s"]].reset_index(drop=True)
-        s, e = p["s"].to_numpy(), p["e"].to_numpy()
-        words = [w or "" for w in p["word"]]
-        breaks = [0, *(np.flatnonzero(s[1:] - e[:-1] >= pause) + 1).tolist(), len(p)]
-        groups = [[a, b] for a, b in zip(breaks, breaks[1:]) if b > a]
-        merged: list[list[int]] = []
-        carry: int | None = None
-        for i, (a, b) in enumerate(groups):
-            a = carry if carry is not None else a
-            carry = None
-            if e[b - 1] - s[a] < least and i + 1 < len(groups) and s[b] - e[b - 1] < 2 * pause:
-                carry = a
-            else:
-                merged.append([a, b])
-        out = []
-        todo = merged[::-1]
-        while todo:
-            a, b = todo.pop()
-            if e[b - 1] - s[a] <= most or b - a == 1:
-                text = "".join(words[a:b]).strip()
-                if text:
-                    out.append((len(out) + 1, int(s[a]), int(e[b - 1]), text, b - a))
-                continue
-            inner = s[a + 1 : b] - e[a : b - 1]
-            k = int(inner.argmax())
-            if inner[k] >= 10:
-                cut = a + 1 + k
-            else:
-                over = np.flatnonzero(e[a:b] - s[a] > most)
-                cut = a + max(1, int(over[0]))
-            todo += [[cut, b], [a, cut]]
+        out = reflow_rows(p["s"].to_numpy(), p["e"].to_numpy(), [w or "" for w in p["word"]], pause, most, least)
         return pd.DataFrame(out, columns=["cue", "start_ms", "end_ms", "text", "words"])
 
     return run

@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 from ..session import table, to_ms
 
 
-def cues(spark: SparkSession, folder: str, timed: bool = True) -> DataFrame:
-    """``episode_id, track, seq, s, e, text``: each cue once, the delivery loaded last; with ``timed`` only those with both times."""
+def cues(spark: SparkSession, folder: str, timed: bool = True, together: bool = False) -> DataFrame:
+    """``episode_id, track, seq, s, e, text``: each cue once, the delivery loaded last; with ``timed`` only those with both times.
+
+    With ``together`` a track lies in one partition, and that is the only shuffle.
+    """
     raw = table(spark, folder, "cues").select("episode_id", "track", "seq", to_ms("start_s").alias("s"), to_ms("end_s").alias("e"), "text", "loaded_at", "cue_id")
+    raw = raw.repartition("episode_id", "track") if together else raw
     once = raw.groupBy("episode_id", "track", "seq").agg(F.max_by(F.struct("s", "e", "text"), F.struct("loaded_at", "cue_id")).alias("r")).select("episode_id", "track", "seq", "r.*")
     return once.filter("s IS NOT NULL AND e IS NOT NULL") if timed else once
 

@@ -83,11 +83,25 @@ def spoken_words(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def reflowed_words(spark: SparkSession, folder: str) -> DataFrame:
-    """Words as new cues. Parts of a track 20 s apart never meet, so ten minutes of them are a task's work."""
-    words = spoken_words(spark, folder)
-    bounds = words.groupBy("episode_id", "track").agg(F.min("s").alias("first"), F.max("e").alias("last"))
-    words = islands.whole_sessions(words, ["episode_id", "track"], "s", "e", ["s", "seq", "i"], 20_000, strict=True).join(bounds, ["episode_id", "track"])
-    return segment.by_group(words, ["episode_id", "track", "block"], ["s", "seq", "i"], retime.reflow_words(), "cue int, start_ms long, end_ms long, text string")
+    """Words as new cues. Cues are shuffled once and a track's words made as they pass by: the words are many times the cues."""
+    own = cues(spark, folder, together=True).filter("s < e").filter(F.col("text").rlike("\\S")).sortWithinPartitions("episode_id", "track", "s", "seq")
+    return own.mapInArrow(_reflowed, "episode_id string, track string, block long, cue int, start_ms long, end_ms long, text string")
+
+
+def _reflowed(batches):
+    import pyarrow as pa
+
+    types = {"episode_id": pa.string(), "track": pa.string(), "block": pa.int64(), "cue": pa.int32(), "start_ms": pa.int64(), "end_ms": pa.int64(), "text": pa.string()}
+    rows = (r for b in batches for r in zip(zip(*(b.column(c).to_pylist() for c in ("episode_id", "track"))), *(b.column(c).to_pylist() for c in ("seq", "s", "e", "text"))))
+    flush = lambda out: pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), types.values())], list(types))
+    out = []
+    for key, block, own in retime.reflow_tracks(rows):
+        out += [(*key, block, i, *c) for i, c in enumerate(own, 1)]
+        if len(out) >= 10_000:
+            yield flush(out)
+            out = []
+    if out:
+        yield flush(out)
 
 
 @query()

@@ -1,10 +1,14 @@
+import random
+
 import pandas as pd
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cuefold.functions import rules as R
+from cuefold.operators import islands, segment
 from cuefold.operators import retime as T
+from cuefold.plans import sequence
 
 CUES = st.lists(st.tuples(st.integers(0, 4000), st.integers(1, 12_000), st.sampled_from(["a", "hello there", "x" * 50, "one.\ntwo words here and more of them"])), max_size=12)
 
@@ -58,3 +62,23 @@ def test_rules(spark):
     one = spark.createDataFrame([("Please retry in 3.5s ... 'retryDelay': '9s'", " Title ", "HIGH", " Ab c! ")], "m string, k string, r string, s string")
     got = one.select(R.retry_seconds(F.col("m")), R.kind_of(F.col("k"), ["title_card"]), R.rank_of(F.col("r")), R.slug(F.col("s")), R.backoff_seconds(F.lit(2)), R.vocab_share(F.col("k"), "tle")).first()
     assert got[:5] == (9.0, "title_card", "high", "ab-c", 15.0) and 0 < got[5] < 1
+
+
+def test_words_are_made_after_the_one_shuffle(spark, tmp_path):
+    rng = random.Random(3)
+    texts = ["one two three.", "a", " \n ", "こんにちは、これは長いせりふです", "b c\nd  e", "long words here", None, ""]
+    rows, at = [], 0
+    for i in range(400):
+        at += rng.choice([0, 200, 900, 3_000, 15_000, 19_999, 20_001, 45_000, 700_000])
+        rows.append((i, "e", rng.choice(["x", "y"]), i, at / 1000, (at + rng.choice([-5, 0, 2, 800, 4_000, 30_000, 90_000])) / 1000, rng.choice(texts)))
+    df = spark.createDataFrame(rows, "cue_id long, episode_id string, track string, seq int, start_s double, end_s double, text string").withColumn("loaded_at", F.current_timestamp())
+    df.write.parquet(f"{tmp_path}/cues.parquet")
+    got = sequence.reflowed_words(spark, str(tmp_path))
+    words, keys = sequence.spoken_words(spark, str(tmp_path)), ["episode_id", "track"]
+    bounds = words.groupBy(*keys).agg(F.min("s").alias("first"), F.max("e").alias("last"))
+    parts = islands.whole_sessions(words, keys, "s", "e", ["s", "seq", "i"], 20_000, strict=True).join(bounds, keys)
+    by_words = segment.by_group(parts, [*keys, "block"], ["s", "seq", "i"], T.reflow_words(), "cue int, start_ms long, end_ms long, text string")
+    rows = sorted(map(tuple, got.collect()))
+    assert len({r[2] for r in rows}) > 20 and rows == sorted(map(tuple, by_words.collect()))
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") == 1
